@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import toxicity, warc
+from .common import scratch_path
 from .ngram_jaccard import jaccard_components
+from .topk import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +25,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"), 10)
+
+
+ORACLES["op1_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 @query
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
@@ -42,3 +62,29 @@ SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.component_id,
        CASE WHEN len(s.s) = 0 THEN 1 ELSE k.n END::BIGINT AS n_copies
 FROM s JOIN c ON c.doc_id = s.doc_id JOIN k ON k.s = list_sort(s.s)
 """
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    captures = warc.assemble(warc.read_records(spark, path))
+    page = F.regexp_extract("response.refers_to", r"^<urn:page:(-?\d+)>$", 1)
+    return captures.select("metadata.page_id", "response.payload_bytes", "response.payload_digest", "record_type", F.when(F.col("record_type") == "revisit", page.cast("long")).alias("refers_to"))
+
+
+ORACLES["op5_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f
+"""
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    return toxicity.toxicity_scores(documents.select("doc_id", "text"), model).select("doc_id", "held_out", "score", "predicted")
