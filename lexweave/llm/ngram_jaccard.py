@@ -8,9 +8,12 @@ against verifying the candidates it lets through. A pair needs min(k_a, k_b) sha
 shingles, then passes a parity-bitmap bound, then an exact test over both whole texts.
 
 Copies cost nothing: documents with equal sets are one class. A large group of near copies costs
-one test a member: each class is first tested against the class it shares most prefix shingles
-with, among the smallest class of each shingle; what this links is contracted, and only pairs
-across different components are generated after that, so no link between components is lost.
+one test a member and round: each class is first tested against one leader, of those classes that
+lead the lists of its prefix shingles (most of their own prefix is shared) the one it meets most;
+what this links is contracted, and only pairs across different components are generated after
+that, so no link between components is lost. Prefix shingles that no other class shows cannot be
+common to any pair; they cap the overlap a class can have, and pairs that the caps rule out are
+never generated.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ BLOCKS = 8  # it travels in pieces of SLOTS / BLOCKS counts
 FAN_IN = 16  # sketches merged by one task
 BITS = 2048  # of the parity bitmap
 MAX_MATCH = 4
+ROUNDS = 2  # of testing each class against one leader, before all pairs across components
 NUM, DEN = 80, 100  # the threshold, 0.8
 
 _SIG = "doc_id long, n long, digest binary, parity binary, block int, node int, counts binary"
@@ -185,6 +189,31 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     return links
 
 
+def _possible(na: str, nb: str, cap_a: str, cap_b: str) -> str:
+    """SQL: two sets that share no more than either cap can still be linked."""
+    return f"({NUM} + {DEN}) * least({cap_a}, {cap_b}) >= {NUM} * ({na} + {nb})"
+
+
+def _labelled(multi: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """multi with the component that each class is in so far."""
+    if roots is None:
+        return multi.withColumn("label", F.col("cls"))
+    return multi.join(roots.select(F.col("node").alias("cls"), F.col("root").alias("label")), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+
+
+def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The components (node, root) after more links."""
+    if roots is None:
+        return components(links, "jaccard-cc")
+    old = roots.select(F.col("node").alias("x"), F.col("root").alias("r"))
+    at = lambda side: F.coalesce(F.col(f"{side}.r"), F.col(f"l.{side}"))
+    across = links.alias("l").join(old.alias("a"), F.expr("l.a = a.x"), "left").join(old.alias("b"), F.expr("l.b = b.x"), "left").select(at("a").alias("a"), at("b").alias("b"))
+    top = components(across, "jaccard-cc").select(F.col("node").alias("was"), F.col("root").alias("top"))
+    known = roots.join(top, F.col("root") == F.col("was"), "left").select("node", F.coalesce("top", "root").alias("root"))
+    new = top.join(roots, F.col("was") == F.col("node"), "left_anti").select(F.col("was").alias("node"), F.col("top").alias("root"))
+    return write_table(known.union(new), "jaccard-cc")
+
+
 def jaccard_components(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, and n_copies (documents with the very same set, itself included).
 
@@ -210,29 +239,28 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     counts = spark.sparkContext.broadcast(_sketch(sig))
     posts = docs.where("doc_id is not null").mapInArrow(_postings(counts, at), "token long, cls long, meta long")
     same = Window.partitionBy("token")
-    multi = write_table(
-        posts.withColumn("first", F.min(F.struct("cls", "meta")).over(same)).withColumn("last", F.max("cls").over(same))
-        .where("first.cls < last").select("token", "cls", "meta", F.col("first.cls").alias("lead")).dropDuplicates(["token", "cls"]),
-        "jaccard-multi",
-    )
-    star = multi.where("lead != cls").groupBy("lead", "cls").count().groupBy("cls").agg(F.max(F.struct("count", -F.col("lead"))).alias("m")).select((-F.col("m.col2")).alias("a"), F.col("cls").alias("b"))
-    links = _verified(star, classes, docs)
-    roots = components(links, "jaccard-cc")
-    labels = roots.select(F.col("node").alias("cls"), F.col("root").alias("label"))
-    told = multi.drop("lead").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    told = told.withColumn("lo", F.min("label").over(same)).withColumn("hi", F.max("label").over(same)).where("lo < hi")
-    told = write_table(told.select("token", "cls", "label", F.expr("meta div 8").alias("n"), F.expr("meta % 8").alias("k")), "jaccard-told")
+    shared = posts.withColumn("lo", F.min("cls").over(same)).withColumn("hi", F.max("cls").over(same)).where("lo < hi").select("token", "cls", "meta").dropDuplicates(["token", "cls"])
+    # prefix shingles that no other class shows lower what any partner can share: cap
+    n, k = F.expr("meta div 8"), F.expr("meta % 8")
+    bare = n - (n - F.ceil(n * NUM / DEN) + k) + F.count("*").over(Window.partitionBy("cls"))
+    multi = write_table(shared.select("token", "cls", n.alias("n"), k.alias("k"), bare.cast("long").alias("cap")).where(f"{DEN} * cap >= {NUM} * n"), "jaccard-multi")
+    links, roots = [], None
+    for _ in range(ROUNDS):
+        star = _labelled(multi, roots).withColumn("lead", F.max(F.struct(F.expr("cap / n").alias("share"), "cls", "label", "n", "cap")).over(same)).where("lead.label != label")
+        star = star.where(_possible("n", "lead.n", "cap", "lead.cap")).groupBy("cls", F.col("lead.cls").alias("lead")).count()
+        star = star.groupBy("cls").agg(F.max(F.struct("count", "lead")).alias("m")).select(F.col("m.lead").alias("a"), F.col("cls").alias("b"))
+        links.append(_verified(star, classes, docs))
+        roots = _merged(roots, links[-1])
+    told = _labelled(multi, roots).withColumn("lo", F.min("label").over(same)).withColumn("hi", F.max("label").over(same)).where("lo < hi")
+    told = write_table(told.drop("lo", "hi"), "jaccard-told")
     x, y = told.alias("x"), told.alias("y")
-    met = x.join(y, F.expr(f"x.token = y.token and x.cls < y.cls and x.label != y.label and {DEN} * least(x.n, y.n) >= {NUM} * greatest(x.n, y.n)"))
+    met = x.join(y, F.expr(f"x.token = y.token and x.cls < y.cls and x.label != y.label and {_possible('x.n', 'y.n', 'x.cap', 'y.cap')}"))
     pairs = met.groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).agg(F.count("*").alias("shared"), F.min(F.expr("least(x.k, y.k)")).alias("k")).where("shared >= k")
-    more = _verified(pairs, classes, docs)
-    for t in (multi, told):
+    roots = _merged(roots, _verified(pairs, classes, docs))
+    for t in (multi, told, *links):
         drop_table(t)
-    across = more.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-    joined = components(across.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")), "jaccard-cc")
-    top = joined.select(F.col("node").alias("root"), F.col("root").alias("top"))
-    first = roots.select(F.col("node").alias("cls"), "root")
-    classed = classes.select("cls", "rep", "n_copies").join(first, "cls", "left").withColumn("root", F.coalesce("root", "cls")).join(top, "root", "left").withColumn("top", F.coalesce("top", "root"))
+    first = roots.select(F.col("node").alias("cls"), F.col("root").alias("top"))
+    classed = classes.select("cls", "rep", "n_copies").join(first, "cls", "left").withColumn("top", F.coalesce("top", "cls"))
     least = classed.groupBy("top").agg(F.min("rep").alias("component"))
     classed = classed.join(least, "top").select("cls", "n_copies", "component")
     out = of_docs.withColumn("cls", F.when(F.col("doc_id").isNotNull(), cls)).join(classed, "cls", "left")

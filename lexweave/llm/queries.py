@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity, warc
+from . import byte_bpe, packing, toxicity, warc
 from .common import scratch_path
 from .ngram_jaccard import jaccard_components
 from .topk import top_k
@@ -88,3 +89,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
     return toxicity.toxicity_scores(documents.select("doc_id", "text"), model).select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(cut)
+
+
+@query
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
