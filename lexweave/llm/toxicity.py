@@ -18,8 +18,8 @@ BUCKETS = 1 << 17
 DIM = 8
 BAG = 1
 GRAMS = (3, 4, 5, 6)
-PER_CLASS = 3000  # labelled rows of each class that training takes at most, by hash of doc_id
-STEPS = 60
+PER_CLASS = 1200  # labelled rows of each class that training takes at most, by hash of doc_id
+STEPS = 50
 RATE = 0.1
 DECAY = 1e-6
 SHARP = 3.0
@@ -120,29 +120,31 @@ class Model:
 
 def train(texts: list[str | None], labels: list[int], seed: int = 7) -> Model:
     """The model for 0/1 labels; without both classes, a constant share of toxic rows."""
-    y = np.array(labels, np.int64)
-    docs = [words_of(t) for t in texts]
-    if not len(y) or y.min() == y.max() or not any(docs):
-        p = (y.sum() + 1) / (len(y) + 2)
-        return Model(np.zeros(BUCKETS), float(np.log(p / (1 - p))))
-    keep = [i for i, d in enumerate(docs) if d]
-    docs, y = [docs[i] for i in keep], y[keep]
     index: dict[str, int] = {}
-    tokens = np.fromiter((index.setdefault(w, len(index)) for d in docs for w in d), np.int32)
-    ids, counts = grams(list(index))
+    parts, kept = [], []
+    for text, label in zip(texts, labels):
+        if words := words_of(text):
+            parts.append(np.fromiter((index.setdefault(w, len(index)) for w in words), np.int32, len(words)))
+            kept.append(label)
+    y = np.array(kept, np.int64)
+    if not len(y) or y.min() == y.max():
+        p = (sum(labels) + 1) / (len(labels) + 2)
+        return Model(np.zeros(BUCKETS), float(np.log(p / (1 - p))))
+    names = list(index)
+    made = [grams(names[at : at + 20_000]) for at in range(0, len(names), 20_000)]
+    ids, counts = (np.concatenate([m[i] for m in made]).astype(np.int32) for i in (0, 1))
+    del made, names
     ends = np.concatenate([[0], np.cumsum(counts)])
     seen = np.zeros(BUCKETS, np.int64)  # documents that hold each bucket
-    at = 0
-    for words in docs:
-        mine = np.unique(tokens[at : at + len(words)])
+    for words in parts:
+        mine = np.unique(words)
         seen[np.unique(ids[_runs(ends[mine], counts[mine])])] += 1
-        at += len(words)
     live = seen >= MIN_DOCS
-    bags = [bag_counts(len(d)) for d in docs]
-    per_doc = np.array([len(b) for b in bags])
-    sizes = np.concatenate(bags)
-    size_of, doc_of = np.repeat(sizes, sizes), np.repeat(np.arange(len(docs)), per_doc)
-    of_word = np.repeat(np.arange(len(index)), counts)
+    bags = [bag_counts(len(d)) for d in parts]
+    per_doc, sizes, tokens = np.array([len(b) for b in bags]), np.concatenate(bags), np.concatenate(parts)
+    doc_of = np.repeat(np.arange(len(parts), dtype=np.int32), per_doc)
+    del parts, bags
+    of_word = np.repeat(np.arange(len(index), dtype=np.int32), counts)
     share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     rng = np.random.default_rng(seed)
     params = [rng.normal(0, 0.3, (BUCKETS, DIM)) * live[:, None], rng.normal(0, 0.3, (DIM, 2)), np.zeros(2)]
