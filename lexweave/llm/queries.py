@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, packing, toxicity, warc
+from . import byte_bpe, packing, secrets, toxicity, warc
 from .common import scratch_path
 from .ngram_jaccard import jaccard_components
 from .topk import top_k
@@ -65,6 +65,40 @@ FROM s JOIN c ON c.doc_id = s.doc_id JOIN k ON k.s = list_sort(s.s)
 """
 
 
+@query
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.find_spans(table(spark, sf_dir, "documents")))
+
+
+def _op4_oracle() -> str:
+    """The same spans by lists; each window's entropy is computed anew."""
+    q = lambda s: "'" + s.replace("'", "''") + "'"
+    patterns = [(secrets.ASSIGN, "length(regexp_extract(m, " + q(secrets.ASSIGN) + ", 1)) >= 12"), (secrets.ACCESS, "true"), (secrets.HEX, "true")]
+    allow = secrets.ALLOW.replace(r"|(.)\1{7}", "")
+    for _, pattern, _, width, least in secrets.CLASSES:
+        highest = f"list_max(list_transform(range(1, length(m) - {width - 2}), lambda i: list_aggregate(string_split(m, '')[i:i + {width - 1}], 'entropy')))"
+        same = "length(list_filter(range(1, length(m) - 6), lambda i: m[i:i + 7] = repeat(m[i], 8))) = 0"
+        patterns.append((pattern, f"regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') AND NOT regexp_matches(m, {q(allow)}) AND {same} AND {highest} >= {least}"))
+    parts = []
+    for kind, (pattern, keep) in enumerate(patterns):
+        parts.append(f"""SELECT doc_id, {kind} AS kind, m, start, start + length(m) AS stop FROM (
+            SELECT doc_id, unnest(f) AS m, unnest(list_transform(range(1, len(f) + 1), lambda i: list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0)))::INT AS start
+            FROM (SELECT doc_id, regexp_extract_all(text, {q(pattern)}) AS f, regexp_split_to_array(text, {q(pattern)}) AS p FROM t)) WHERE {keep}""")
+    kinds = "[" + ", ".join(map(q, secrets.KINDS)) + "]"
+    joined = f"coalesce(string_agg({kinds}[kind + 1] || ':' || start || ':' || stop, ',' ORDER BY start, kind) FILTER (%s), '')"
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+a AS ({" UNION ALL ".join(parts)}),
+s AS (SELECT * FROM a WHERE kind < 3 OR NOT EXISTS (SELECT 1 FROM a b WHERE b.doc_id = a.doc_id AND b.kind < 3 AND b.start <= a.start AND a.stop <= b.stop))
+SELECT t.doc_id, count(*) FILTER (kind = 0)::BIGINT AS n_assign, count(*) FILTER (kind = 1)::BIGINT AS n_access, count(*) FILTER (kind = 2)::BIGINT AS n_hex,
+       sha256({joined % "kind < 3"}) AS base_sha256, {joined % "kind IS NOT NULL"} AS spans
+FROM t LEFT JOIN s ON s.doc_id = t.doc_id GROUP BY t.doc_id
+"""
+
+
+ORACLES["op4_secrets"] = _op4_oracle()
+
+
 @query
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
