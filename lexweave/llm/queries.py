@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, packing, secrets, toxicity, warc
+from . import byte_bpe, line_dedup, packing, secrets, toxicity, warc
 from .common import scratch_path
 from .ngram_jaccard import jaccard_components
 from .topk import top_k
@@ -118,6 +118,30 @@ FROM f
 """
 
 
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_line_dedup"] = f"""
+WITH RECURSIVE
+d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+o AS (SELECT * FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS line_no FROM d) WHERE length(line) >= {line_dedup.MIN_CHARS}),
+u AS (SELECT line, length(line) AS n, min((doc_id, line_no)) AS first FROM o GROUP BY line),
+p AS (SELECT a.line AS x, b.line AS y FROM u a JOIN u b ON b.n BETWEEN a.n AND a.n + {line_dedup.EDITS} AND a.line <> b.line AND levenshtein(a.line, b.line) <= {line_dedup.EDITS}),
+e AS (SELECT x, y FROM p UNION SELECT y, x FROM p),
+r(line, seen) AS (SELECT x, x FROM e UNION SELECT r.line, e.y FROM r JOIN e ON r.seen = e.x),
+c AS (SELECT r.line, min((u.first, r.seen)) AS rep FROM r JOIN u ON u.line = r.seen GROUP BY r.line),
+m AS (SELECT o.doc_id, o.line_no, coalesce(c.rep[1], u.first) AS rep, coalesce(c.rep[2], o.line) <> o.line AS near
+      FROM o JOIN u ON u.line = o.line LEFT JOIN c ON c.line = o.line),
+g AS (SELECT doc_id, count(*) FILTER (NOT near) AS n_exact, count(*) FILTER (near) AS n_near,
+             string_agg(line_no || '>' || rep[1] || ':' || rep[2], ',' ORDER BY line_no) AS removed
+      FROM m WHERE (doc_id, line_no) <> rep GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(ls), 1)::BIGINT AS n_lines, coalesce(n_exact, 0)::BIGINT AS n_exact, coalesce(n_near, 0)::BIGINT AS n_near, coalesce(removed, '') AS removed
+FROM d LEFT JOIN g ON g.doc_id = d.doc_id
+"""
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
