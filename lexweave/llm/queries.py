@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import byte_bpe, line_dedup, packing, secrets, toxicity, warc
 from .common import scratch_path
 from .ngram_jaccard import jaccard_components
+from .passages import shared_passages
 from .topk import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,6 +143,11 @@ FROM d LEFT JOIN g ON g.doc_id = d.doc_id
 """
 
 
+@query
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
