@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_dedup, packing, secrets, toxicity, warc
+from . import byte_bpe, line_dedup, media, packing, secrets, toxicity, warc
 from .common import scratch_path
 from .ngram_jaccard import jaccard_components
 from .passages import shared_passages
@@ -66,6 +66,14 @@ FROM s JOIN c ON c.doc_id = s.doc_id JOIN k ON k.s = list_sort(s.s)
 """
 
 
+@query
+def op3_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as recordings: their bytes are the samples. Documents are aligned with the benchmark's items."""
+    sound = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("media")
+    documents, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return media.align(documents.select("doc_id", sound), "doc_id", items.select("item_id", sound), "item_id")
+
+
 @query
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_spans(table(spark, sf_dir, "documents")))
