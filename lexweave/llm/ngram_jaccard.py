@@ -32,7 +32,8 @@ BLOCKS = 8  # it travels in pieces of SLOTS / BLOCKS counts
 FAN_IN = 16  # sketches merged by one task
 BITS = 2048  # of the parity bitmap
 MAX_MATCH = 4
-ROUNDS = 2  # of testing each class against one leader, before all pairs across components
+FEW = 0.5  # rounds of testing each class against one leader end at this many pairs across components a posting,
+WORTH = 50  # or when less than one test in WORTH links
 NUM, DEN = 80, 100  # the threshold, 0.8
 
 _SIG = "doc_id long, n long, digest binary, parity binary, block int, node int, counts binary"
@@ -245,12 +246,19 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     bare = n - (n - F.ceil(n * NUM / DEN) + k) + F.count("*").over(Window.partitionBy("cls"))
     multi = write_table(shared.select("token", "cls", n.alias("n"), k.alias("k"), bare.cast("long").alias("cap")).where(f"{DEN} * cap >= {NUM} * n"), "jaccard-multi")
     links, roots = [], None
-    for _ in range(ROUNDS):
-        star = _labelled(multi, roots).withColumn("lead", F.max(F.struct(F.expr("cap / n").alias("share"), "cls", "label", "n", "cap")).over(same)).where("lead.label != label")
+    while True:
+        told = _labelled(multi, roots)
+        star = told.withColumn("lead", F.max(F.struct(F.expr("cap / n").alias("share"), "cls", "label", "n", "cap")).over(same)).where("lead.label != label")
         star = star.where(_possible("n", "lead.n", "cap", "lead.cap")).groupBy("cls", F.col("lead.cls").alias("lead")).count()
-        star = star.groupBy("cls").agg(F.max(F.struct("count", "lead")).alias("m")).select(F.col("m.lead").alias("a"), F.col("cls").alias("b"))
+        star = write_table(star.groupBy("cls").agg(F.max(F.struct("count", "lead")).alias("m")).select(F.col("m.lead").alias("a"), F.col("cls").alias("b")), "jaccard-star")
         links.append(_verified(star, classes, docs))
         roots = _merged(roots, links[-1])
+        tried, made = star.count(), links[-1].count()
+        drop_table(star)
+        sizes = _labelled(multi, roots).groupBy("token", "label").count().groupBy("token").agg(F.sum("count").alias("s"), F.sum(F.expr("count * count")).alias("q"))
+        rows, pairs = sizes.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
+        if not made or made * WORTH < tried or pairs <= rows * FEW:
+            break
     told = _labelled(multi, roots).withColumn("lo", F.min("label").over(same)).withColumn("hi", F.max("label").over(same)).where("lo < hi")
     told = write_table(told.drop("lo", "hi"), "jaccard-told")
     x, y = told.alias("x"), told.alias("y")
