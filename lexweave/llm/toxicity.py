@@ -3,7 +3,7 @@
 A word's vector is the mean of its n-gram vectors ('<word>', 3 to 6 characters, hashed to buckets),
 a bag's the mean of its words' vectors; a bag holds up to BAG consecutive words, and a document's
 logit is a smooth maximum over its bags. Embeddings and softmax are trained together in numpy
-(Adam over the whole sample) on the driver, over a bounded sample of the labelled rows. Unseen
+(Adam over the whole sample) by one task, over a bounded sample of the labelled rows. Unseen
 misspellings share n-grams with words seen in training.
 """
 
@@ -177,10 +177,19 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     """Trains on up to PER_CLASS labelled rows of each class whose crc32(doc_id) mod 5 is not 0."""
     known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic")).where(~held_out())
     pick = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS) for k in (0, 1)]
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(pick[0].union(pick[1])), "doc_id")
-    rows = {r["doc_id"]: (r["text"], r["toxic"]) for r in texts.toLocalIterator()}
-    rows = [rows[k] for k in sorted(rows)]
-    return train([t for t, _ in rows], [y for _, y in rows])
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(pick[0].union(pick[1])), "doc_id")
+
+    def learn(batches):
+        rows = {}
+        for b in batches:
+            for i, text, label in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))):
+                rows[i] = (text, label)  # of repeated rows one
+        rows = [rows.pop(k) for k in sorted(rows)]
+        m = train([t for t, _ in rows], [y for _, y in rows])
+        yield pa.RecordBatch.from_pydict({"weight": pa.array([m.weight.astype(np.float32).tobytes()], pa.binary()), "bias": [m.bias]})
+
+    made = texts.repartition(1).mapInArrow(learn, "weight binary, bias double").first()  # one task, at most 2 PER_CLASS rows
+    return Model(np.frombuffer(bytes(made["weight"]), np.float32).astype(np.float64), made["bias"])
 
 
 def toxicity_scores(documents: DataFrame, model: Model) -> DataFrame:
