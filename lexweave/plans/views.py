@@ -27,14 +27,16 @@ SENSES_SQL = """senses AS (
          trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '_') || ':noun:' || (row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) - 1) AS sense_id
   FROM part)"""
 
+#: Line numbers repeat within an order, so the rest of the line breaks ties.
+LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus")
 #: What a line's flags say of the relation to the part of the order's next line.
 TYPES = (("A", "F", "hypernym"), ("R", "F", "synonym"), ("N", "F", "antonym"), ("N", "O", "confusable"))
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of a line relates to that of the order's next line: src, dst, type, confidence, and the line as place."""
-    line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_linestatus", "l_discount")
-    nxt = F.lead("l_partkey").over(Window.partitionBy("l_orderkey").orderBy("l_linenumber"))
+    line = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
+    nxt = F.lead("l_partkey").over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER))
     kind = F.lit("see_also")
     for flag, status, name in TYPES:
         kind = F.when((F.col("l_returnflag") == flag) & (F.col("l_linestatus") == status), name).otherwise(kind)
@@ -44,5 +46,5 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _CASE = " ".join(f"WHEN l_returnflag = '{a}' AND l_linestatus = '{b}' THEN '{t}'" for a, b, t in TYPES)
 EDGES_SQL = f"""edges AS (
-  SELECT * FROM (SELECT l_partkey AS src, lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS dst,
+  SELECT * FROM (SELECT l_partkey AS src, lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY {', '.join(LINE_ORDER)}) AS dst,
     CASE {_CASE} ELSE 'see_also' END AS type, 1 - l_discount AS confidence, l_orderkey AS place, l_linenumber AS ord FROM lineitem) WHERE dst IS NOT NULL)"""
