@@ -11,9 +11,9 @@ Copies cost nothing: documents with equal sets are one class. A large group of n
 one test a member and round: each class is first tested against one leader, of those classes that
 lead the lists of its prefix shingles (most of their own prefix is shared) the one it meets most;
 what this links is contracted, and only pairs across different components are generated after
-that, so no link between components is lost. Prefix shingles that no other class shows cannot be
-common to any pair; they cap the overlap a class can have, and pairs that the caps rule out are
-never generated.
+that, so no link between components is lost. Of two prefixes, shingles of the one that ends first in
+the order are in the other set only if they are in its prefix; so those that no other prefix shows
+cap the pair's overlap, and pairs that the cap rules out are never generated.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ BLOCKS = 8  # it travels in pieces of SLOTS / BLOCKS counts
 FAN_IN = 16  # sketches merged by one task
 BITS = 2048  # of the parity bitmap
 MAX_MATCH = 4
+MOST_END = (1 << 28) - 1
 FEW = 0.5  # rounds of testing each class against one leader end at this many pairs across components a posting,
 WORTH = 50  # or when less than one test in WORTH links
 NUM, DEN = 80, 100  # the threshold, 0.8
@@ -141,7 +142,8 @@ def _postings(counts, at: int):
                 k, length = prefix(len(s), np.maximum(c[order][: len(s)] - usual, 0))
                 tokens.append(s[order[:length]])
                 ids.append(np.full(length, class_id(d, at), np.int64))
-                metas.append(np.full(length, len(s) * 8 + k, np.int64))
+                end = min(int(c[order[length - 1]]), MOST_END)
+                metas.append(np.full(length, end << 35 | len(s) << 3 | k, np.int64))
             if tokens:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(metas))], names=["token", "cls", "meta"])
 
@@ -190,9 +192,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     return links
 
 
-def _possible(na: str, nb: str, cap_a: str, cap_b: str) -> str:
-    """SQL: two sets that share no more than either cap can still be linked."""
-    return f"({NUM} + {DEN}) * least({cap_a}, {cap_b}) >= {NUM} * ({na} + {nb})"
+def _possible(a: str, b: str) -> str:
+    """SQL: two sets can be linked, by the cap of the one whose prefix ends first (the larger cap if that can't be told)."""
+    cap = f"case when {a}end < {b}end then {a}cap when {b}end < {a}end then {b}cap else greatest({a}cap, {b}cap) end"
+    return f"{DEN} * least({a}n, {b}n) >= {NUM} * greatest({a}n, {b}n) and ({NUM} + {DEN}) * {cap} >= {NUM} * ({a}n + {b}n)"
 
 
 def _labelled(multi: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -241,15 +244,15 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     posts = docs.where("doc_id is not null").mapInArrow(_postings(counts, at), "token long, cls long, meta long")
     same = Window.partitionBy("token")
     shared = posts.withColumn("lo", F.min("cls").over(same)).withColumn("hi", F.max("cls").over(same)).where("lo < hi").select("token", "cls", "meta").dropDuplicates(["token", "cls"])
-    # prefix shingles that no other class shows lower what any partner can share: cap
-    n, k = F.expr("meta div 8"), F.expr("meta % 8")
+    # of two prefixes, what the one that ends first in the order has and the other hasn't is in one set alone: cap
+    n, k, end = F.expr(f"shiftright(meta, 3) & {(1 << 32) - 1}"), F.expr("meta & 7"), F.expr("shiftright(meta, 35)")
     bare = n - (n - F.ceil(n * NUM / DEN) + k) + F.count("*").over(Window.partitionBy("cls"))
-    multi = write_table(shared.select("token", "cls", n.alias("n"), k.alias("k"), bare.cast("long").alias("cap")).where(f"{DEN} * cap >= {NUM} * n"), "jaccard-multi")
+    multi = write_table(shared.select("token", "cls", n.alias("n"), k.alias("k"), end.alias("end"), bare.cast("long").alias("cap")), "jaccard-multi")
     links, roots = [], None
     while True:
         told = _labelled(multi, roots)
-        star = told.withColumn("lead", F.max(F.struct(F.expr("cap / n").alias("share"), "cls", "label", "n", "cap")).over(same)).where("lead.label != label")
-        star = star.where(_possible("n", "lead.n", "cap", "lead.cap")).groupBy("cls", F.col("lead.cls").alias("lead")).count()
+        star = told.withColumn("lead", F.max(F.struct(F.expr("cap / n").alias("share"), "cls", "label", "n", "cap", "end")).over(same)).where("lead.label != label")
+        star = star.where(_possible("", "lead.")).groupBy("cls", F.col("lead.cls").alias("lead")).count()
         star = write_table(star.groupBy("cls").agg(F.max(F.struct("count", "lead")).alias("m")).select(F.col("m.lead").alias("a"), F.col("cls").alias("b")), "jaccard-star")
         links.append(_verified(star, classes, docs))
         roots = _merged(roots, links[-1])
@@ -262,7 +265,7 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     told = _labelled(multi, roots).withColumn("lo", F.min("label").over(same)).withColumn("hi", F.max("label").over(same)).where("lo < hi")
     told = write_table(told.drop("lo", "hi"), "jaccard-told")
     x, y = told.alias("x"), told.alias("y")
-    met = x.join(y, F.expr(f"x.token = y.token and x.cls < y.cls and x.label != y.label and {_possible('x.n', 'y.n', 'x.cap', 'y.cap')}"))
+    met = x.join(y, F.expr(f"x.token = y.token and x.cls < y.cls and x.label != y.label and {_possible('x.', 'y.')}"))
     pairs = met.groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).agg(F.count("*").alias("shared"), F.min(F.expr("least(x.k, y.k)")).alias("k")).where("shared >= k")
     roots = _merged(roots, _verified(pairs, classes, docs))
     for t in (multi, told, *links):
