@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexweave.llm import line_dedup, packing, secrets, toxicity
-from lexweave.llm.common import BROADCAST_IDS, write_table
+from lexweave.llm.common import BROADCAST_IDS, hidden, write_table
 from lexweave.llm.ngram_jaccard import jaccard_components
 
 #: The stages and the order are no SQL: the first learns a model, the last runs a tokenizer.
@@ -21,7 +21,8 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model of op8 doesn't call toxic."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.toxicity_scores(docs, model).where("predicted = 0").select(*docs.columns)
+    plain, back = hidden(docs, "held_out", "score", "predicted")
+    return toxicity.toxicity_scores(plain, model).where("predicted = 0").select(*back)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

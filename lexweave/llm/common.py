@@ -57,6 +57,12 @@ def with_ids(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key)
 
 
+def hidden(df: DataFrame, *names: str) -> tuple[DataFrame, list]:
+    """df with its columns of these names renamed out of the way, and what to select to get its columns back."""
+    away = {c: f"{c}_{uuid.uuid4().hex}" for c in df.columns if c.lower() in names}
+    return df.withColumnsRenamed(away), [F.col(away[c]).alias(c) if c in away else F.col(c) for c in df.columns]
+
+
 class WordHash(dict):
     """64-bit hash of a word, remembered for up to `most` words."""
 

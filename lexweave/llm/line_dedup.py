@@ -6,7 +6,8 @@ each line shows keys (length, segment, substring): its own segments, and for eac
 the substrings that could be segments there. Keys are counted first (partial sums, so a line that
 fills a third of the corpus stays small); only keys of two different lines or more keep members.
 Members are tested against one leader a round, and what that links is contracted; after ROUNDS
-rounds all pairs across components are tested. A test is a pigeonhole check on parts, then the edit
+rounds all pairs across components are tested. Pairs whose character parities differ in more bits
+than EDITS edits can turn are not made. A test is a pigeonhole check on parts, then the edit
 distance by a bit-parallel automaton over the 2 EDITS + 1 diagonals of the band.
 """
 
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, components, drop_table, with_ids, write_table
+from .common import BROADCAST_IDS, components, drop_table, hidden, with_ids, write_table
 
 EDITS = 2
 MIN_CHARS = 20
@@ -86,20 +87,24 @@ def _few(members: DataFrame, keys: DataFrame) -> DataFrame:
     return members.join(F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys, "key", "left_semi")
 
 
-def _linked(pairs: DataFrame, firsts: DataFrame, documents: DataFrame, seed: int) -> DataFrame:
-    """Of pairs (a, b) of line ids, those within EDITS edits."""
-    pairs = write_table(pairs.select("a", "b"), "lines-pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+def _texts(ids: DataFrame, firsts: DataFrame, documents: DataFrame, seed: int) -> DataFrame:
+    """id, line and marks of the lines named by ids: bit c of marks is the parity of the count of characters c modulo 64, so an edit turns two bits at most."""
     where = write_table(firsts.join(ids, "id").select("id", "first.doc_id", "first.line_no"), "lines-where")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = with_ids(docs, where.select("doc_id").distinct(), "doc_id").join(where, "doc_id").select("id", F.expr("get(split(text, '\n'), line_no)").alias("line"))
-    texts = write_table(texts.where(_line_id("line", seed) == F.col("id")).dropDuplicates(["id"]), "lines-texts")
+    lines = with_ids(docs, where.select("doc_id").distinct(), "doc_id")
+    wanted = where.groupBy("doc_id").agg(F.collect_list("line_no").alias("want"))
+    lines = lines.join(wanted, "doc_id").select(F.explode(F.expr("transform(array(split(text, '\n')), ls -> transform(want, i -> get(ls, i)))[0]")).alias("line")).where("line is not null")
+    found = lines.select(_line_id("line", seed).alias("id"), "line").join(where.select("id"), "id", "left_semi").dropDuplicates(["id"])
+    out = write_table(found.withColumn("marks", F.expr("aggregate(split(line, ''), 0L, (m, c) -> m ^ shiftleft(1L, ascii(c) & 63))")), "lines-texts")
+    drop_table(where)
+    return out
+
+
+def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Of pairs (a, b) of line ids, those within EDITS edits."""
     side = lambda x: texts.select(F.col("id").alias(x), F.col("line").alias(f"l{x}"))
-    met = pairs.join(side("a"), "a").join(side("b"), "b").where(f"abs(length(la) - length(lb)) <= {EDITS}").where(_alike("la", "lb"))
-    links = write_table(met.where(f"{within('la', 'lb')} is not null").select("a", "b"), "lines-links")
-    for t in (pairs, where, texts):
-        drop_table(t)
-    return links
+    met = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").where(f"abs(length(la) - length(lb)) <= {EDITS}").where(_alike("la", "lb"))
+    return write_table(met.where(f"{within('la', 'lb')} is not null").select("a", "b"), "lines-links")
 
 
 def line_classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -121,25 +126,29 @@ def line_classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     firsts = write_table(occ.groupBy("id").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "line_no")).alias("first")), "lines-firsts")
     index = _lines(documents).select(_line_id("line", seed).alias("id"), F.explode(F.expr(_keys("line", "length(line)", seed))).alias("key"))
     keys = write_table(index.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key"), "lines-keys")
-    members = write_table(_few(index, keys).distinct(), "lines-members")
+    shown = write_table(_few(index, keys).distinct(), "lines-shown")
+    texts = _texts(shown.select("id").distinct(), firsts, documents, seed)
+    members = write_table(shown.join(texts.select("id", "marks", F.length("line").alias("n")), "id"), "lines-members")
+    drop_table(shown)
+    near = f"bit_count(x.marks ^ y.marks) <= {2 * EDITS} and abs(x.n - y.n) <= {EDITS}"
     same, roots, used = Window.partitionBy("key"), None, []
     for last in [False] * ROUNDS + [True]:
         told = members.withColumn("label", F.col("id"))
         if roots is not None:
             told = members.join(roots.select(F.col("node").alias("id"), F.col("root").alias("label")), "id", "left").withColumn("label", F.coalesce("label", "id"))
-        told = told.withColumn("lead", F.min(F.struct("label", "id")).over(same)).withColumn("hi", F.max("label").over(same)).where("lead.label < hi")
+        told = told.withColumn("lead", F.min(F.struct("label", "id", "marks", "n")).over(same)).withColumn("hi", F.max("label").over(same)).where("lead.label < hi")
         if last:
-            x, y = told.select("key", "id", "label").alias("x"), told.select("key", "id", "label").alias("y")
-            pairs = x.join(y, F.expr("x.key = y.key and x.id < y.id and x.label != y.label")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+            x, y = (told.select("key", "id", "label", "marks", "n").alias(side) for side in "xy")
+            pairs = x.join(y, F.expr(f"x.key = y.key and x.id < y.id and x.label != y.label and {near}")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
         else:
-            met = told.where("label != lead.label").groupBy("id", F.col("lead.id").alias("lead")).count()
+            met = told.where("label != lead.label").where(near.replace("x.", "").replace("y.", "lead.")).groupBy("id", F.col("lead.id").alias("lead")).count()
             pairs = met.groupBy("id").agg(F.max(F.struct("count", "lead")).alias("m")).select(F.col("m.lead").alias("a"), F.col("id").alias("b"))
-        used.append(_linked(pairs, firsts, documents, seed))
+        used.append(_linked(pairs, texts))
         links = used[0]
         for more in used[1:]:
             links = links.union(more)
         roots = components(links, "lines-cc")
-    for t in (keys, members, *used):
+    for t in (keys, members, texts, *used):
         drop_table(t)
     labels = roots.select(F.col("node").alias("id"), "root")
     lines = firsts.join(labels, "id", "left").where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "id"))
@@ -174,8 +183,9 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     Every row stays, with an empty text if no line is left; what has no removed line is unchanged.
     """
     gone = removed_lines(documents).groupBy(F.col("doc_id").alias("gone_doc")).agg(F.collect_set("line_no").alias("gone_lines"))
-    out = documents.join(gone, F.col("doc_id").cast("long") == F.col("gone_doc"), "left")
+    docs, back = hidden(documents, "gone_doc", "gone_lines")
+    out = docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_doc"), "left")
     text = F.when(F.col("gone_lines").isNull(), F.col("text")).otherwise(F.expr("array_join(transform(array(split(text, '\n')), ls -> transform(array_except(sequence(0, size(ls) - 1), gone_lines), i -> ls[i]))[0], '\n')"))
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.col("gone_lines").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long")))
-    return out.withColumn("text", text).select(*documents.columns)
+    return out.withColumn("text", text).select(*back)

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import hidden
+
 #: Fixed by the contract: kind, pattern, least length of what counts (group 1 of assign, else the match).
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{14,}"  # of 18 or more characters; a shorter run has no longer match inside
@@ -62,10 +64,12 @@ def find_spans(documents: DataFrame, allow: str = ALLOW) -> DataFrame:
     A null or empty text has no span. A column of that name is replaced; all rows and other columns
     stay as they are, so repeated rows, null ids and an empty table pass through.
     """
-    kept = [c for c in documents.columns if c not in ("found", "text")]
     text = "coalesce(cast(text as string), '')"
     patterns = [("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), *((k, p) for k, p, *_ in CLASSES)]
-    own = documents.select(*kept, "text", *(F.expr(f"regexp_extract_all({text}, {_quoted(p)}, 0)").alias(f"m_{k}") for k, p in patterns))
+    inner = [f"{part}_{k}" for part in "mps" for k, _ in patterns]
+    docs, back = hidden(documents.drop("found"), "base", *inner)
+    kept = [c for c in docs.columns if c != "text"]
+    own = docs.select(*kept, "text", *(F.expr(f"regexp_extract_all({text}, {_quoted(p)}, 0)").alias(f"m_{k}") for k, p in patterns))
     cut = own.select("*", *(F.expr(f"case when size(m_{k}) > 0 then split({text}, {_quoted(p)}, -1) end").alias(f"p_{k}") for k, p in patterns))
     spans = []
     for at, (k, _) in enumerate(patterns):
@@ -79,8 +83,7 @@ def find_spans(documents: DataFrame, allow: str = ALLOW) -> DataFrame:
     each = cut.select(*kept, "text", *spans)
     base = each.select("*", F.concat(*(F.col(f"s_{k}") for k in KINDS[:3])).alias("base"))
     free = [F.expr(f"filter(s_{k}, x -> not exists(base, b -> b.start <= x.start and x.end <= b.end))") for k, *_ in CLASSES]
-    out = base.select(*kept, "text", F.array_sort(F.concat("base", *free)).alias("found"))
-    return out.select(*documents.drop("found").columns, "found")
+    return base.select(*back, F.array_sort(F.concat("base", *free)).alias("found"))
 
 
 def _joined(spans: str) -> Column:
@@ -99,7 +102,8 @@ def redact(documents: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     text = "coalesce(cast(text as string), '')"
     take = f"named_struct('at', greatest(s.at, x.end), 'out', concat(s.out, case when x.start >= s.at then concat(substring({text}, s.at + 1, x.start - s.at), {_quoted(mark)}) else '' end))"
     clean = F.expr(f"case when size(found) = 0 then text else aggregate(found, named_struct('at', 0, 'out', ''), (s, x) -> {take}, s -> concat(s.out, substring({text}, s.at + 1))) end")
-    out = find_spans(documents)
+    docs, back = hidden(documents, "found")
+    out = find_spans(docs)
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.size("found") > 0, F.length(clean).cast("long")).otherwise(F.col("n_chars")))
-    return out.withColumn("text", clean).select(*documents.columns)
+    return out.withColumn("text", clean).select(*back)

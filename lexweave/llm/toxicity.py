@@ -37,7 +37,7 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     at = np.arange(len(chars))
     ids, owners = [], []
     h = np.zeros(len(chars), np.uint64)
-    for n in range(1, GRAMS[-1] + 1):
+    for n in range(1, min(GRAMS[-1], len(chars)) + 1):
         part = np.zeros(len(chars), np.uint64)
         part[: len(chars) - n + 1] = chars[n - 1 :]
         h = h * np.uint64(0x100000001B3) + part + np.uint64(1)
@@ -128,7 +128,7 @@ def train(texts: list[str | None], labels: list[int], seed: int = 7) -> Model:
             kept.append(label)
     y = np.array(kept, np.int64)
     if not len(y) or y.min() == y.max():
-        p = (sum(labels) + 1) / (len(labels) + 2)
+        p = (sum(labels) + 0.5) / (len(labels) + 2)
         return Model(np.zeros(BUCKETS), float(np.log(p / (1 - p))))
     names = list(index)
     made = [grams(names[at : at + 20_000]) for at in range(0, len(names), 20_000)]
@@ -189,6 +189,8 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
         yield pa.RecordBatch.from_pydict({"weight": pa.array([m.weight.astype(np.float32).tobytes()], pa.binary()), "bias": [m.bias]})
 
     made = texts.repartition(1).mapInArrow(learn, "weight binary, bias double").first()  # one task, at most 2 PER_CLASS rows
+    if made is None:
+        return train([], [])
     return Model(np.frombuffer(bytes(made["weight"]), np.float32).astype(np.float64), made["bias"])
 
 
