@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexweave.catalog import query
 from lexweave.functions import text as T
-from lexweave.operators import stats
+from lexweave.operators import minhash, stats
 from lexweave.plans.views import table
 
 WORDS = r"list_filter(regexp_extract_all(coalesce({0}, ''), '[\p{{L}}\p{{N}}_''’]+'), lambda w: regexp_matches(w, '[\p{{L}}\p{{N}}]'))"
@@ -328,3 +328,9 @@ def duplicate_gate(spark, sf_dir):
     """Documents whose folded text an earlier one has, and those too short, by source."""
     k = table(spark, sf_dir, "documents").select("doc_id", "source", F.md5(T.folded("text").cast("binary")).alias("k"), T.word_count("text").alias("n"))
     return stats.gate(k, "k", "doc_id", "source", 20)
+
+
+@query()
+def minhash_near_dups(spark, sf_dir):
+    """Clusters of documents by MinHash bands."""
+    return minhash.clusters(minhash.signatures(table(spark, sf_dir, "documents"), "doc_id", "text"), "doc_id")
