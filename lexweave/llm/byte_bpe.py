@@ -20,26 +20,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LONG = 96
-CHUNK = 20_000  # words a recursive query takes
-CACHE = 600_000
+CHUNK = 60_000  # words a recursive query takes
+CACHE = 700_000
 _codecs: dict[int, Codec] = {}
 
 _ENCODE = """
 WITH RECURSIVE steps(step, w, pos, tok) AS (
   SELECT 0, w, pos, tok FROM start
   UNION ALL
-  SELECT step + 1, w, pos, CASE WHEN at_best THEN made ELSE tok END
-  FROM (SELECT *, pos = best AS at_best, coalesce(lag(pos) OVER (PARTITION BY w ORDER BY pos) = best, false) AS gone
-        FROM (SELECT *, min(made * 1000::BIGINT + pos) OVER (PARTITION BY w) AS least, least % 1000 AS best
-              FROM (SELECT p.step, p.w, p.pos, p.tok, m.made
-                    FROM (SELECT step, w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS next FROM steps) p
-                    LEFT JOIN merges m ON m.a = p.tok AND m.b = p.next))
-        WHERE least IS NOT NULL)
-  WHERE NOT gone
+  SELECT step + 1, w, pos, CASE WHEN pos = best THEN made ELSE tok END
+  FROM (SELECT *, min(made * 1000::BIGINT + pos) OVER (PARTITION BY w) % 1000 AS best
+        FROM (SELECT p.step, p.w, p.pos, p.tok, p.prev, m.made
+              FROM (SELECT step, w, pos, tok, lead(tok) OVER neighbours AS next, lag(pos) OVER neighbours AS prev FROM steps WINDOW neighbours AS (PARTITION BY w ORDER BY pos)) p
+              LEFT JOIN merges m ON m.a = p.tok AND m.b = p.next))
+  WHERE best IS NOT NULL AND prev IS DISTINCT FROM best
 ),
 last AS (SELECT w, max(step) AS step FROM steps GROUP BY w),
 final AS (SELECT s.w, s.pos, s.tok FROM steps s JOIN last l ON s.w = l.w AND s.step = l.step)
-SELECT f.w, list(f.tok ORDER BY f.pos) AS ids, string_agg(v.hex, '' ORDER BY f.pos) AS hex
+SELECT f.w, string_agg(f.tok::VARCHAR, ',' ORDER BY f.pos) AS ids, count(*) AS n, string_agg(v.hex, '' ORDER BY f.pos) AS hex
 FROM final f JOIN vocab v ON v.tok = f.tok GROUP BY f.w
 """
 
@@ -122,8 +120,8 @@ class Codec:
         self.db.register("start", start)
         got = self.db.sql(_ENCODE).to_arrow_table()
         self.db.unregister("start")
-        for w, ids, hex_ in zip(*(c.to_pylist() for c in got.columns)):
-            self.words[words[w][0]] = ",".join(map(str, ids)), len(ids), bytes.fromhex(hex_)
+        for w, ids, n, hex_ in zip(*(c.to_pylist() for c in got.columns)):
+            self.words[words[w][0]] = ids, n, bytes.fromhex(hex_)
 
     def encode(self, texts: list[str]) -> list[list[tuple[str, int, bytes]]]:
         if len(self.words) > CACHE:
@@ -152,8 +150,8 @@ def encode_documents(documents: DataFrame, ranks_path: str, pattern: str) -> Dat
     def run(batches):
         c = codec(*shared.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
                 n, ids, plain = [], [], []
                 for words in c.encode([t or "" for t in part.column("text").to_pylist()]):
                     n.append(sum(w[1] for w in words))
