@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lexweave.llm import byte_bpe, line_dedup, media, packing, secrets, toxicity, warc
 from lexweave.llm.common import components
 from lexweave.llm.ngram_jaccard import jaccard_components
-from lexweave.llm.passages import compact_windows, shared_passages
+from lexweave.llm.passages import _extended, compact_windows, shared_passages
 from lexweave.llm.topk import top_k
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, found string, score string"
@@ -216,6 +216,38 @@ def test_passages(spark):
     assert shared_passages(documents(spark, texts).limit(0)).isEmpty()
 
 
+def test_passages_with_shifts(spark):
+    """A word added to or left out of 80 words: 72 of 81 and 71 of 80 shingles are shared, no side holds 50 words."""
+    rng = random.Random(21)
+    for k in range(3):
+        passage = words(rng, 80).split()
+        added, less = passage[:40] + ["added"] + passage[40:], passage[:40] + passage[41:]
+        texts = [(1, f"{words(rng, 40)} {' '.join(passage)} {words(rng, 20)}"), (2, f"{words(rng, 15)} {' '.join(added)} {words(rng, 9)}"), (3, f"{words(rng, 5)} {' '.join(less)} {words(rng, 70)}")]
+        assert {(1, 40, 80), (2, 15, 81), (3, 5, 79)} <= {tuple(r)[:3] for r in shared_passages(documents(spark, texts)).collect()}
+
+
+def test_extension_by_brute_force():
+    """What an extension returns holds the bar, and it finds something wherever passages edited by replaced, added and missing words hold it around their meeting place."""
+    rng = random.Random(22)
+    for k in range(200):
+        a = [rng.randrange(10**6) for _ in range(rng.randrange(50, 140))]
+        b = list(a)
+        for _ in range(rng.randrange(4)):
+            i = rng.randrange(len(b))
+            b[i : i + rng.randrange(2)] = [rng.randrange(10**6)] * rng.randrange(2)
+        s, t = (np.array([hash(tuple(x[i : i + 5])) for i in range(len(x) - 4)], np.int64) for x in (a, b))
+        both = len(set(s.tolist()) & set(t.tolist()))
+        around = [[rng.randrange(-(10**6), 0) for _ in range(30)] for _ in range(4)]
+        x, y = np.array(around[0] + s.tolist() + around[1]), np.array(around[2] + t.tolist() + around[3])
+        i = rng.choice([i for i in range(len(x)) if x[i] in y])
+        got = _extended(x, y, i, y.tolist().index(x[i]))
+        if 10 * both >= 8 * (len(s) + len(t) - both) and min(len(s), len(t)) >= 46:
+            assert got is not None and got[0][1] - got[0][0] >= both
+        if got is not None:
+            u, v = set(x[got[0][0] : got[0][1]].tolist()), set(y[got[0][2] : got[0][3]].tolist())
+            assert min(len(u), len(v)) >= 46 and 10 * len(u & v) >= 8 * len(u | v)
+
+
 def test_toxicity(spark, odd):
     rng = random.Random(2)
     stems = ["grub", "snarf", "blort"]
