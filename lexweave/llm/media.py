@@ -114,27 +114,32 @@ class Catalogue:
         order = np.argsort(codes, kind="stable")
         self.codes, self.of, self.at = codes[order], of[order], at[order]
 
-    def align(self, codes: np.ndarray) -> tuple[int, int, float] | None:
-        """(recording, offset in frames, share of differing bits) of the best match, least errors first, then the smallest recording."""
+    def align(self, codes: np.ndarray) -> list[tuple[int, int, float]]:
+        """(recording, offset in frames, share of differing bits) of every match, least errors first, then the smallest recording and offset."""
         lo, hi = np.searchsorted(self.codes, codes, "left"), np.searchsorted(self.codes, codes, "right")
         some = np.flatnonzero(hi > lo)
         if not len(some):
-            return None
+            return []
         n = (hi - lo)[some]
         hit = np.repeat(lo[some] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
         pairs, counts = np.unique(np.stack([self.of[hit], np.repeat(some, n) - self.at[hit]]), axis=1, return_counts=True)
-        best = None
-        for item in np.unique(pairs[0, counts >= LEAST_HITS]):
-            mine = np.flatnonzero(pairs[0] == item)
-            offset = int(pairs[1, mine[counts[mine].argmax()]])
-            other = self.items[int(item)]
+        out = []
+        for item, offset in pairs[:, counts >= LEAST_HITS].T.tolist():
+            other = self.items[item]
             a, b = max(0, offset), min(len(codes), offset + len(other))
             if b - a < min(LEAST_OVERLAP, len(other)):
                 continue
             errors = float(np.bitwise_count(codes[a:b] ^ other[a - offset : b - offset]).sum()) / (32 * (b - a))
-            if errors <= MOST_ERRORS and (best is None or errors < best[2]):
-                best = int(item), offset, errors
-        return best
+            if errors <= MOST_ERRORS:
+                out.append((item, offset, errors))
+        places: dict[int, list[int]] = {}
+        kept = []
+        for item, offset, errors in sorted(out, key=lambda m: (m[2], m[0], m[1])):
+            known = places.setdefault(item, [])
+            if all(abs(offset - o) >= FRAME // HOP for o in known):  # frames that share samples tell one place; items of two codes are longer
+                known.append(offset)
+                kept.append((item, offset, errors))
+        return kept
 
 
 def _prints(key: str):
@@ -152,9 +157,9 @@ def fingerprints(media: DataFrame, key: str) -> DataFrame:
 
 
 def align(media: DataFrame, key: str, catalogue: DataFrame, item: str) -> DataFrame:
-    """key, n_samples, n_codes, codes_sha256, item, offset, bit_errors: each recording's best match in the catalogue.
+    """key, n_samples, n_codes, codes_sha256, item, offset, bit_errors: a row for each place at which a recording matches an item of the catalogue.
 
-    A recording without a match, a null or short one has nulls there. Catalogue rows with a null
+    A recording without a match, a null or short one has one row with nulls there. Catalogue rows with a null
     item take no part, of repeated items the first in order of their codes does. Empty tables give
     recordings without matches, or none.
     """
@@ -163,7 +168,7 @@ def align(media: DataFrame, key: str, catalogue: DataFrame, item: str) -> DataFr
     total = known.agg(F.sum("n_codes")).first()[0] or 0
     rounds = max(1, -(-total // ROUND_CODES))
     dealt = known.withColumn("round", F.pmod(F.xxhash64(item), F.lit(rounds)))
-    schema = f"{key} long, n_samples long, n_codes long, codes_sha256 string, item long, offset int, bit_errors double"
+    schema = f"{key} long, n_samples long, n_codes long, codes_sha256 string, item long, offset int, bit_errors double, first boolean"
     done = []
     for k in range(rounds):
         held = {r[item]: np.frombuffer(bytes(r["codes"]), np.uint32) for r in dealt.where(f"round = {k}").collect()}  # a round, bounded by ROUND_CODES
@@ -173,15 +178,16 @@ def align(media: DataFrame, key: str, catalogue: DataFrame, item: str) -> DataFr
             for b in batches:
                 for at in range(0, b.num_rows, 1024):
                     part = b.slice(at, 1024)
-                    rows: list[list] = [[] for _ in range(6)]
-                    for x in part.column("media"):
+                    rows: list[list] = [[] for _ in range(8)]
+                    for k, x in zip(part.column(key).to_pylist(), part.column("media")):
                         raw = x.as_py() or b""
                         codes = fingerprint(raw)
-                        found = shared.value.align(codes) or (None, None, None)
-                        for column, v in zip(rows, (len(raw), len(codes), hashlib.sha256(codes.tobytes()).hexdigest(), *found)):
-                            column.append(v)
-                    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.float64())
-                    yield pa.RecordBatch.from_arrays([part.column(key), *(pa.array(c, t) for c, t in zip(rows, kinds))], names=[key, "n_samples", "n_codes", "codes_sha256", "item", "offset", "bit_errors"])
+                        told = k, len(raw), len(codes), hashlib.sha256(codes.tobytes()).hexdigest()
+                        for i, found in enumerate(shared.value.align(codes) or [(None, None, None)]):
+                            for column, v in zip(rows, (*told, *found, i == 0)):
+                                column.append(v)
+                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.float64(), pa.bool_())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds)], names=[key, "n_samples", "n_codes", "codes_sha256", "item", "offset", "bit_errors", "first"])
 
         out = media.select(F.col(key).cast("long").alias(key), "media").mapInArrow(run, schema)
         if rounds > 1:
@@ -189,10 +195,11 @@ def align(media: DataFrame, key: str, catalogue: DataFrame, item: str) -> DataFr
             shared.destroy()
         done.append(out)
     if rounds == 1:
-        return done[0]
+        return done[0].drop("first")
     every = done[0]
     for more in done[1:]:
         every = every.union(more)
-    best = every.groupBy(key, "n_samples", "n_codes", "codes_sha256").agg(F.min(F.when(F.col("item").isNotNull(), F.struct("bit_errors", "item", "offset"))).alias("m"), F.count("*").alias("n"))
+    told = every.groupBy(key, "n_samples", "n_codes", "codes_sha256").agg(F.collect_set(F.when(F.col("item").isNotNull(), F.struct("item", "offset", "bit_errors"))).alias("all"), F.count_if("first").alias("n"))
     # repeated rows come back as often as each round had them
-    return best.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.expr(f"n div {rounds}")))).select(key, "n_samples", "n_codes", "codes_sha256", "m.item", "m.offset", "m.bit_errors")
+    each = told.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.expr(f"n div {rounds}")))).withColumn("m", F.explode_outer("all"))
+    return each.select(key, "n_samples", "n_codes", "codes_sha256", "m.item", "m.offset", "m.bit_errors")
