@@ -125,15 +125,32 @@ r(x, y) AS (SELECT id, id FROM n UNION SELECT r.x, a.dst FROM r JOIN a ON a.src
 c AS (SELECT scc, count(*) AS n FROM s GROUP BY scc) SELECT CASE WHEN n = 1 THEN '1' WHEN n = 2 THEN '2' WHEN n <= 10 THEN '3-10' ELSE 'over 10' END AS size, count(*) AS components, sum(n)::BIGINT AS nodes FROM c GROUP BY 1""")
 def scc_sizes(spark, sf_dir):
     """strongly connected components of the antonym edges by size."""
-    c = graph.strong_components(edges(spark, sf_dir).where("type = 'antonym'")).groupBy("scc").agg(F.count("*").alias("n"))
+    return _by_size(edges(spark, sf_dir).where("type = 'antonym'"))
+
+
+def _by_size(e):
+    """Strongly connected components of edges e by size."""
+    c = graph.strong_components(e).groupBy("scc").agg(F.count("*").alias("n"))
     size = F.when(F.col("n") == 1, "1").when(F.col("n") == 2, "2").when(F.col("n") <= 10, "3-10").otherwise("over 10")
     return c.groupBy(size.alias("size")).agg(F.count("*").alias("components"), F.sum("n").cast("long").alias("nodes"))
 
 
+@query()
+def connected_components_all(spark, sf_dir):
+    """F19, over the edges of every type."""
+    return graph.components(edges(spark, sf_dir))
+
+
+@query()
+def scc_sizes_hypernym(spark, sf_dir):
+    """strongly connected components of the hypernym edges by size."""
+    return _by_size(edges(spark, sf_dir).where("type = 'hypernym'"))
+
+
 @query()
 def cycle_break(spark, sf_dir):
-    """F13 over the antonym edges: those to demote."""
-    return graph.cycle_edges(edges(spark, sf_dir).where("type = 'antonym'"))
+    """F13 over the hypernym edges: those to demote."""
+    return graph.cycle_edges(edges(spark, sf_dir).where("type = 'hypernym'"))
 
 
 @query(f"""WITH RECURSIVE {EDGES_SQL}, e AS (SELECT DISTINCT src, dst FROM edges WHERE type = 'synonym' AND src <> dst),
