@@ -273,6 +273,13 @@ def word_plurals(spark, sf_dir):
     return w.where(F.length("word").between(3, 6)).distinct().select("word", T.forms("word")[0].alias("plural"))
 
 
+@query()
+def word_forms(spark, sf_dir):
+    """Every generated form of English words of any length."""
+    w = table(spark, sf_dir, "documents").where("lang = 'en'").select(F.explode(F.expr("regexp_extract_all(lower(coalesce(text, '')), '[a-z]+', 0)")).alias("word"))
+    return w.distinct().select("word", F.posexplode(T.forms("word")).alias("place", "form"))
+
+
 @query()
 def lemma_fold(spark, sf_dir):
     """Distinct words and those of their base forms that are words of the corpus too."""

@@ -72,3 +72,14 @@ def test_no_cycle_of_hypernyms_is_left(spark):
             if not degree[v]:
                 free.append(v)
     assert n == len(degree)
+
+
+def test_forms_of_all_words(spark):
+    texts = [r.text or "" for r in table(spark, str(SF), "documents").where("lang = 'en'").select("text").collect()]
+    words = {w for t in texts for w in re.findall("[a-z]+", t.lower())}
+    rows = [tuple(r) for r in catalog.QUERIES["word_forms"](spark, str(SF)).collect()]
+    assert {r[0] for r in rows} == words and {len(w) for w in words} - set(range(3, 7))
+    by = {(w, p): f for w, p, f in rows}
+    short = {r.word: r.plural for r in catalog.QUERIES["word_plurals"](spark, str(SF)).collect()}
+    assert all(by[w, 0] == f for w, f in short.items())
+    assert all((w, 1) in by for w in words)
