@@ -261,6 +261,20 @@ def test_overlap_of_intervals(spark):
     assert [r[0] for r in w.selectExpr(sql).collect()] == [False, True, False, True]
 
 
+@pytest.mark.parametrize("n", [12, 60])
+def test_passages_of_large_groups(spark, n):
+    """Copies of an original, each with another word edited: 51 of 61 shingles with the original, fewer with one another. All have a row, as do two texts that hold what the least text of their group doesn't."""
+    rng = random.Random(24)
+    passage = [f"p{k}" for k in range(60)]
+    texts = []
+    for k in range(n):
+        copy = list(passage)
+        copy[5 + k * 50 // n] = f"e{k}"
+        texts.append((k, f"{words(rng, 20)} {' '.join(copy)} {words(rng, 20)}"))
+    texts.append((n, f"{words(rng, 20)} {' '.join(passage)} {words(rng, 20)}"))
+    assert {r.doc_id for r in shared_passages(documents(spark, texts)).collect()} == set(range(n + 1))
+
+
 def test_extension_by_brute_force():
     """What an extension returns holds the bar, and it finds something wherever passages edited by replaced, added and missing words hold it around their meeting place."""
     rng = random.Random(22)
