@@ -1,18 +1,21 @@
 """Byte-level BPE encoding and decoding by recursive queries in DuckDB, one database a worker.
 
-A partition's texts are split by the tokenizer's pattern; each distinct match that is not a token
-itself starts as one row per byte. The recursive query joins neighbouring tokens with the merge
-table (every split of every token into two tokens), contracts each word's leftmost pair of least
-rank and goes on until no word has a pair. An ordered aggregation over the vocabulary decodes.
-Words of more than LONG bytes would take as many steps as bytes over all their rows; the same rule
-is applied to them with a heap, in n log n steps.
+A partition's texts are split by the tokenizer's pattern; each distinct match starts as one row per
+byte (as one row if it is a token itself). The recursive query joins neighbouring tokens with the
+merge table (every split of every token into two tokens), contracts each word's leftmost pair of
+least rank and goes on until no word has a pair. It is keyed by word and place, so it holds one row
+a byte however many steps it takes. An ordered aggregation over the vocabulary decodes.
+
+A word of n bytes takes up to n steps. For words of more than LONG bytes a second recursive query
+contracts all pairs of a word's least rank in one step, left to right, where that gives the same:
+unless a pair that such a contraction makes has a lower rank, in which case the leftmost alone is
+contracted in that step.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 
 import pyarrow as pa
 import regex
@@ -20,26 +23,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LONG = 96
-CHUNK = 60_000  # words a recursive query takes
+CHUNK = 60_000  # words a recursive query takes,
+CHUNK_BYTES = 4 << 20  # and their bytes
 CACHE = 700_000
-_codecs: dict[int, Codec] = {}
+_codecs: dict[str, Codec] = {}
 
-_ENCODE = """
-WITH RECURSIVE steps(step, w, pos, tok) AS (
-  SELECT 0, w, pos, tok FROM start
-  UNION ALL
-  SELECT step + 1, w, pos, CASE WHEN pos = best THEN made ELSE tok END
-  FROM (SELECT *, min(made * 1000::BIGINT + pos) OVER (PARTITION BY w) % 1000 AS best
-        FROM (SELECT p.step, p.w, p.pos, p.tok, p.prev, m.made
-              FROM (SELECT step, w, pos, tok, lead(tok) OVER neighbours AS next, lag(pos) OVER neighbours AS prev FROM steps WINDOW neighbours AS (PARTITION BY w ORDER BY pos)) p
-              LEFT JOIN merges m ON m.a = p.tok AND m.b = p.next))
-  WHERE best IS NOT NULL AND prev IS DISTINCT FROM best
-),
-last AS (SELECT w, max(step) AS step FROM steps GROUP BY w),
-final AS (SELECT s.w, s.pos, s.tok FROM steps s JOIN last l ON s.w = l.w AND s.step = l.step)
+_DECODE = """
 SELECT f.w, string_agg(f.tok::VARCHAR, ',' ORDER BY f.pos) AS ids, count(*) AS n, string_agg(v.hex, '' ORDER BY f.pos) AS hex
-FROM final f JOIN vocab v ON v.tok = f.tok GROUP BY f.w
+FROM steps f JOIN vocab v ON v.tok = f.tok WHERE f.tok >= 0 GROUP BY f.w
 """
+_ENCODE = f"""
+WITH RECURSIVE steps(w, pos, tok) USING KEY (w, pos) AS (
+  SELECT w, pos, tok FROM start
+  UNION ALL
+  SELECT w, pos, CASE WHEN pos = best THEN made WHEN prev = best THEN -1 ELSE tok END
+  FROM (SELECT *, min(made * 4294967296 + pos) OVER (PARTITION BY w) & 4294967295 AS best
+        FROM (SELECT p.w, p.pos, p.tok, p.prev, m.made
+              FROM (SELECT w, pos, tok, lead(tok) OVER neighbours AS next, lag(pos) OVER neighbours AS prev FROM steps WHERE tok >= 0 WINDOW neighbours AS (PARTITION BY w ORDER BY pos)) p
+              LEFT JOIN merges m ON m.a = p.tok AND m.b = p.next))
+  WHERE best IS NOT NULL
+){_DECODE}"""
+_ENCODE_LONG = f"""
+WITH RECURSIVE steps(w, pos, tok) USING KEY (w, pos) AS (
+  SELECT w, pos, tok FROM start
+  UNION ALL
+  SELECT w, pos, CASE WHEN take THEN made WHEN dead THEN -1 ELSE tok END
+  FROM (SELECT *, lag(take, 1, false) OVER (PARTITION BY w ORDER BY pos) AS dead
+        FROM (SELECT *, CASE WHEN careful THEN coalesce(pos = first, false) ELSE hit AND nth % 2 = 1 END AS take
+              FROM (SELECT h.*, bool_or(hit AND (coalesce(x.made < h.made, false) OR coalesce(y.made < h.made, false) OR coalesce(z.made < h.made, false))) OVER (PARTITION BY w) AS careful,
+                           min(CASE WHEN hit THEN pos END) OVER (PARTITION BY w) AS first, row_number() OVER (PARTITION BY w, hit, i - k ORDER BY pos) AS nth
+                    FROM (SELECT *, row_number() OVER (PARTITION BY w, hit ORDER BY pos) AS k
+                          FROM (SELECT *, coalesce(made = lowest, false) AS hit
+                                FROM (SELECT p.*, m.made, min(m.made) OVER (PARTITION BY p.w) AS lowest
+                                      FROM (SELECT w, pos, tok, row_number() OVER near AS i, lag(tok) OVER near AS prev, lead(tok) OVER near AS next, lead(tok, 2) OVER near AS after
+                                            FROM steps WHERE tok >= 0 WINDOW near AS (PARTITION BY w ORDER BY pos)) p
+                                      LEFT JOIN merges m ON m.a = p.tok AND m.b = p.next)
+                                WHERE lowest IS NOT NULL)) h
+                    LEFT JOIN merges x ON h.hit AND x.a = h.prev AND x.b = h.made
+                    LEFT JOIN merges y ON h.hit AND y.a = h.made AND y.b = h.after
+                    LEFT JOIN merges z ON h.hit AND z.a = h.made AND z.b = h.made)))
+){_DECODE}"""
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -47,36 +70,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(bytes.strip, f))}
 
 
-def by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The leftmost pair of least rank again and again, over a linked list."""
-    end = [i + 1 for i in range(len(word))]
-    before = [i - 1 for i in range(len(word))]
-    alive = [True] * len(word)
-    heap: list = []
-
-    def offer(i: int) -> None:
-        if i >= 0 and end[i] < len(word) and (r := ranks.get(word[i : end[end[i]]])) is not None:
-            heapq.heappush(heap, (r, i, end[end[i]]))
-
-    for i in range(len(word)):
-        offer(i)
-    while heap:
-        _, i, stop = heapq.heappop(heap)
-        if not alive[i] or end[i] >= len(word) or end[end[i]] != stop:
-            continue
-        alive[end[i]] = False
-        end[i] = stop
-        if stop < len(word):
-            before[stop] = i
-        offer(i)
-        offer(before[i])
-    out, i = [], 0
-    while i < len(word):
-        out.append(ranks[word[i : end[i]]])
-        i = end[i]
-    return out
-
-
 class Codec:
     """Encodes words (bytes) to (ids joined by commas, number of ids, decoded bytes), remembered."""
 
@@ -85,11 +78,10 @@ class Codec:
         import numpy as np
 
         self.ranks, self.words, self.np = ranks, {}, np
-        self.tokens = {r: t for t, r in ranks.items()}
         self.find = regex.compile(pattern).findall
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         splits = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         a, b, made = (pa.array(x, pa.int32()) for x in zip(*splits)) if splits else (pa.array([], pa.int32()),) * 3
         arrow = pa.table({"a": a, "b": b, "made": made})  # noqa: F841
         self.db.execute("CREATE TABLE merges AS SELECT * FROM arrow")
@@ -97,28 +89,34 @@ class Codec:
         self.db.execute("CREATE TABLE vocab AS SELECT * FROM arrow")
 
     def learn(self, words: list[str]) -> None:
-        new = []
-        for w in words:
-            b = w.encode("utf-8", "surrogatepass")
-            if (r := self.ranks.get(b)) is not None:
-                self.words[w] = str(r), 1, self.tokens[r]
-            elif len(b) > LONG:
-                ids = by_heap(b, self.ranks)
-                self.words[w] = ",".join(map(str, ids)), len(ids), b"".join(map(self.tokens.__getitem__, ids))
-            else:
-                new.append((w, b))
-        for at in range(0, len(new), CHUNK):
-            self._query(new[at : at + CHUNK])
-
-    def _query(self, words: list[tuple[str, bytes]]) -> None:
+        for query, long in ((_ENCODE, False), (_ENCODE_LONG, True)):
+            chunk, size = [], 0
+            for w in words:
+                b = w.encode("utf-8", "surrogatepass")
+                if (len(b) > LONG) != long:
+                    continue
+                chunk.append((w, b))
+                size += len(b)
+                if len(chunk) >= CHUNK or size >= CHUNK_BYTES:
+                    self._query(query, chunk)
+                    chunk, size = [], 0
+            if chunk:
+                self._query(query, chunk)
+
+    def _query(self, query: str, words: list[tuple[str, bytes]]) -> None:
         np = self.np
+        whole = np.fromiter((self.ranks.get(b, -1) for _, b in words), np.int32, len(words))
         lengths = np.fromiter((len(b) for _, b in words), np.int64, len(words))
-        of = np.repeat(np.arange(len(words)), lengths)
+        split = np.flatnonzero(whole < 0)  # the others are tokens themselves and start as one row
+        lengths = lengths[split]
+        of = np.repeat(split, lengths)
         first = np.repeat(np.cumsum(lengths) - lengths, lengths)
-        tok = self.byte[np.frombuffer(b"".join(b for _, b in words), np.uint8)]
-        start = pa.table({"w": pa.array(of, pa.int32()), "pos": pa.array(np.arange(len(of)) - first, pa.int32()), "tok": tok})
+        tok = self.byte[np.frombuffer(b"".join(words[i][1] for i in split.tolist()), np.uint8)]
+        single = np.flatnonzero(whole >= 0)
+        w, pos = np.concatenate([of, single]), np.concatenate([np.arange(len(of)) - first, np.zeros(len(single), np.int64)])
+        start = pa.table({"w": pa.array(w, pa.int32()), "pos": pa.array(pos, pa.int32()), "tok": np.concatenate([tok, whole[single]])})
         self.db.register("start", start)
-        got = self.db.sql(_ENCODE).to_arrow_table()
+        got = self.db.sql(query).to_arrow_table()
         self.db.unregister("start")
         for w, ids, n, hex_ in zip(*(c.to_pylist() for c in got.columns)):
             self.words[words[w][0]] = ids, n, bytes.fromhex(hex_)
@@ -132,8 +130,16 @@ class Codec:
         return [list(map(get, ws)) for ws in split]
 
 
-def codec(ranks: dict[bytes, int], pattern: str) -> Codec:
-    key = hash((len(ranks), pattern))
+def digest(ranks: dict[bytes, int], pattern: str) -> str:
+    """Tells rank tables and patterns apart."""
+    h = hashlib.sha256(pattern.encode())
+    for t, r in sorted(ranks.items()):
+        h.update(b"%d:%d:%s" % (r, len(t), t))
+    return h.hexdigest()
+
+
+def codec(key: str, ranks: dict[bytes, int], pattern: str) -> Codec:
+    """The codec of the rank table and pattern that key, their digest, tells; one a process."""
     if key not in _codecs:
         _codecs[key] = Codec(ranks, pattern)
     return _codecs[key]
@@ -145,7 +151,8 @@ def encode_documents(documents: DataFrame, ranks_path: str, pattern: str) -> Dat
     A null text is empty: no token, digests of nothing. Repeated rows are encoded each, a null
     doc_id stays null, an empty table gives an empty result; other columns are ignored.
     """
-    shared = documents.sparkSession.sparkContext.broadcast((read_ranks(ranks_path), pattern))
+    ranks = read_ranks(ranks_path)
+    shared = documents.sparkSession.sparkContext.broadcast((digest(ranks, pattern), ranks, pattern))
 
     def run(batches):
         c = codec(*shared.value)

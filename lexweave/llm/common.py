@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -17,7 +18,10 @@ BROADCAST_IDS = 500_000
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or (unset, as in tests) one of our own."""
+    """The folder all executors share: spark.checkpoint.dir, or (unset, in local mode as in tests) one of our own.
+
+    On a cluster without that setting there is no folder to use, which is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
@@ -25,6 +29,8 @@ def scratch_root(spark: SparkSession) -> str:
     set_dir = sc._jsc.sc().getCheckpointDir()
     if set_dir.isDefined():
         return set_dir.get().rstrip("/")
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that the driver and all executors share")
     own = tempfile.mkdtemp(prefix="lexweave-")
     atexit.register(shutil.rmtree, own, ignore_errors=True)
     sc.setCheckpointDir(own)
@@ -52,8 +58,8 @@ def drop_table(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def with_ids(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Inner join of a wide table with a narrow table of keys; broadcasts the keys only if they are few."""
+def with_ids(rows: DataFrame, ids: DataFrame, key: str | list[str]) -> DataFrame:
+    """Inner join of a wide table with a narrow table of keys (a written one, as it is counted first); broadcasts the keys only if they are few."""
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key)
 
 

@@ -5,11 +5,15 @@ their own. The rest is dealt by hash into partitions of about PART pieces, each
 decreasing. Dual-feasible functions give a lower bound of a partition's bins. A partition that
 meets it keeps every bin but a slack last one; one with a gap keeps its full bins; all other pieces
 are exchanged: dealt anew, among partitions of the next round. Rounds end when nothing is left to
-exchange, the whole meets its bound, or ROUNDS have passed.
+exchange, when the bins in all meet the lower bound of the whole table, when one partition holds
+all that is left, or when a round saves less than GAIN of the bins it packs anew (the better of the
+two packings stays). certificate() tells bins, bound and gap of a packing.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
 import zlib
 
 import numpy as np
@@ -21,37 +25,48 @@ from pyspark.sql import functions as F
 from .common import drop_table, write_table
 
 PART = 2048
-ROUNDS = 4
-CACHE = 500_000
+GAIN = 0.001
+CACHE = 400_000
 #: Characters for which lower-casing, NFC and the split into words work character by character, the same here and in the tokenizer.
-_PLAIN = regex.compile("[\\t\\n\\r\\x20-\\x7e\\xa1-\\xac\\xae-\\u012f\\u0131-\\u0148\\u014a-\\u017f\\u2010-\\u2027\\u2030-\\u205e]*")
+_PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7e\\xa1-\\xac\\xae-\\u012f\\u0131-\\u0148\\u014a-\\u017f\\u2010-\\u2027\\u2030-\\u205e]*")
+_ASCII = bytes([9, 10, 13, *range(32, 127)])
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-_tokenizers: dict[int, tuple] = {}
+_tokenizers: dict[str, tuple] = {}
 
 
-class WordEncoder(dict):
-    """Ids of a word as little-endian 32-bit bytes, remembered; the tokenizer itself is asked for every new word."""
+def _plain(text: str) -> bool:
+    return not text.encode().translate(None, _ASCII) if text.isascii() else _PLAIN.fullmatch(text) is not None
+
+
+class WordEncoder:
+    """Ids of whatever stands between blanks, as little-endian 32-bit bytes, remembered; the tokenizer itself is asked for every new word."""
 
     def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
+        self.tokenizer, self.words, self.runs = tokenizer, {}, {}
 
-    def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self]
+    def learn(self, runs: list[str]) -> None:
+        """Runs of characters without blanks: their words' ids, joined."""
+        split = [_WORD.findall(r) for r in runs]
+        new = list(set().union(*split).difference(self.words))
         for at in range(0, len(new), 1000):  # words parted by spaces are split as they were
             part = new[at : at + 1000]
             e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             ids, of = np.array(e.ids, "<u4"), np.array(e.word_ids, np.int64)
             cuts = np.searchsorted(of, np.arange(len(part) + 1))
             raw = ids.tobytes()
-            self.update((w, raw[4 * i : 4 * j]) for w, i, j in zip(part, cuts[:-1].tolist(), cuts[1:].tolist()))
+            self.words.update((w, raw[4 * i : 4 * j]) for w, i, j in zip(part, cuts[:-1].tolist(), cuts[1:].tolist()))
+        get = self.words.__getitem__
+        self.runs.update((r, get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws))) for r, ws in zip(runs, split))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self) > CACHE:
-            self.clear()
-        words = [_WORD.findall(t.lower()) if _PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
-        self.learn({w for ws in words if ws for w in ws})
-        get = self.__getitem__
-        return [b"".join(map(get, ws)) if ws is not None else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for ws, t in zip(words, texts)]
+        if len(self.runs) > CACHE:
+            self.runs.clear()
+        if len(self.words) > CACHE:
+            self.words.clear()
+        split = [t.lower().split() if "<|" not in t and _plain(t) else None for t in texts]
+        self.learn(list(set().union(*(s for s in split if s)).difference(self.runs)))
+        get = self.runs.__getitem__
+        return [b"".join(map(get, s)) if s is not None else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for s, t in zip(split, texts)]
 
 
 def encoder(spec: str) -> WordEncoder:
@@ -61,7 +76,7 @@ def encoder(spec: str) -> WordEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    key = hash(spec)
+    key = hashlib.sha256(spec.encode()).hexdigest()
     if key not in _tokenizers:
         t = Tokenizer.from_str(spec)
         t.encode_special_tokens = True  # their strings in a text are ordinary text
@@ -123,10 +138,13 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """The best bound among dual-feasible functions: thresholds (large items count as whole bins, small ones as nothing) and the step functions u_k."""
-    if not len(lengths):
+    return bound_of_counts(np.bincount(lengths, minlength=capacity + 1), capacity)
+
+
+def bound_of_counts(n: np.ndarray, capacity: int) -> int:
+    """The best bound of bins for n[x] pieces of length x, among dual-feasible functions: thresholds (large items count as whole bins, small ones as nothing) and the step functions u_k."""
+    if not n.sum():
         return 0
-    n = np.bincount(lengths, minlength=capacity + 1)
     size = n * np.arange(capacity + 1)
     upto, total = np.cumsum(n), np.cumsum(size)
     cut = np.arange(1, capacity // 2 + 1)
@@ -157,6 +175,22 @@ def _pack(capacity: int):
     return run
 
 
+def _counts(pieces: DataFrame, capacity: int) -> np.ndarray:
+    """How many pieces have each length; at most `capacity` numbers reach the driver."""
+    n = np.zeros(capacity + 1, np.int64)
+    for r in pieces.groupBy("length").count().collect():
+        n[r["length"]] = r["count"]
+    return n
+
+
+def certificate(packed: DataFrame, capacity: int = 2048) -> DataFrame:
+    """bins, bound, gap: the sequences of a packing, the least that any packing of its pieces can have by dual-feasible functions, and the difference. One row."""
+    spark = packed.sparkSession
+    bins = packed.where("offset = 0").count()  # lengths are 1 at least, so a sequence has one piece at its start
+    bound = bound_of_counts(_counts(packed, capacity), capacity)
+    return spark.createDataFrame([(bins, bound, bins - bound)], "bins long, bound long, gap long")
+
+
 def pack(cut: DataFrame, capacity: int = 2048) -> DataFrame:
     """The rows of pieces() with sequence_id and offset (gapless from 0), no sequence above capacity.
 
@@ -165,23 +199,36 @@ def pack(cut: DataFrame, capacity: int = 2048) -> DataFrame:
     """
     rows = write_table(cut.withColumn("uid", F.monotonically_increasing_id()), "packing-pieces")
     full = F.col("length") >= capacity
-    left, count = rows.where(~full).select("uid", "length"), rows.where(~full).count()
-    placed, open_, round_ = [], None, 0
+    left = rows.where(~full).select("uid", "length")
+    lengths = _counts(left, capacity)
+    count, bound, n_bins = int(lengths.sum()), bound_of_counts(lengths, capacity), 0
+    placed: list[DataFrame] = []
+    before, open_, again, round_ = None, [], 0, 0  # how the pieces to exchange are packed so far, the tables that reads, and their bins
+
+    def place(rows_: DataFrame) -> None:
+        placed.append(write_table(rows_, "packing-placed"))
+
     while count:
         parts = max(1, -(-count // PART))
         dealt = left.withColumn("part", F.pmod(F.xxhash64("uid", F.lit(round_)), F.lit(parts)))
         packed = write_table(dealt.groupBy("part").applyInPandas(_pack(capacity), "uid long, length long, part long, bin long, offset long, kept boolean"), "packing-round")
-        if open_ is not None:
-            drop_table(open_)
-        loose = packed.where("not kept")
-        again = 0 if parts == 1 or round_ + 1 == ROUNDS else loose.count()
-        done = packed.where("kept") if again else packed
-        seq = F.lit(round_ << 56).bitwiseOR(F.shiftleft("part", 16)).bitwiseOR(F.col("bin"))
-        placed.append(write_table(done.select("uid", seq.alias("sequence_id"), "offset"), "packing-placed"))
-        left, count, open_ = loose.select("uid", "length"), again, packed
+        seq = F.lit(round_ << 56).bitwiseOR(F.shiftleft("part", 16)).bitwiseOR(F.col("bin")).alias("sequence_id")
+        bins, kept, loose = packed.selectExpr("count_if(offset = 0)", "count_if(offset = 0 and kept)", "count_if(not kept)").first()
+        done = packed.select("uid", seq, "offset")
+        slow = before is not None and bins > again * (1 - GAIN)
+        if slow or parts == 1 or not loose or n_bins + bins <= bound:
+            place(before if before is not None and bins >= again else done)
+            count = 0
+        else:
+            place(packed.where("kept").select("uid", seq, "offset"))
+            before, n_bins, again, count = packed.where("not kept").select("uid", seq, "offset"), n_bins + kept, bins - kept, loose
+            left = packed.where("not kept").select("uid", "length")
+        for t in open_:
+            drop_table(t)
+        open_ = [packed]
         round_ += 1
-    if open_ is not None:
-        drop_table(open_)
+    for t in open_:
+        drop_table(t)
     whole = rows.where(full).select("*", (-F.col("uid") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")).drop("uid")
     if not placed:
         return whole

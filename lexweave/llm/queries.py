@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import byte_bpe, line_dedup, media, packing, secrets, toxicity, warc
-from .common import scratch_path
+from .common import scratch_path, write_table
 from .ngram_jaccard import jaccard_components
 from .passages import shared_passages
 from .topk import top_k
@@ -45,7 +45,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 
 @query
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("text_hash", "group")
 
 
 ORACLES["op2_ngram_jaccard"] = r"""
@@ -112,9 +112,9 @@ ORACLES["op4_secrets"] = _op4_oracle()
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
-    captures = warc.assemble(warc.read_records(spark, path))
-    page = F.regexp_extract("response.refers_to", r"^<urn:page:(-?\d+)>$", 1)
-    return captures.select("metadata.page_id", "response.payload_bytes", "response.payload_digest", "record_type", F.when(F.col("record_type") == "revisit", page.cast("long")).alias("refers_to"))
+    captures = write_table(warc.assemble(warc.read_records(spark, path)), "warc-captures")
+    out = warc.resolved(captures)
+    return out.select("metadata.page_id", "response.payload_bytes", "response.payload_digest", "record_type", F.col("original.page_id").alias("refers_to"))
 
 
 ORACLES["op5_warc"] = """

@@ -26,11 +26,15 @@ _PART = "dim int, tile int, node int, query_id binary, vec_id binary, score bina
 _LONG = (-(1 << 63), (1 << 63) - 1)
 
 
-def integers(vectors: list) -> tuple[np.ndarray, np.ndarray] | None:
-    """(positions of usable vectors, floor(SCALE x) as float64 rows) of vectors of one length."""
+def integers(vectors: list) -> tuple[np.ndarray, np.ndarray]:
+    """(positions of usable vectors, floor(SCALE x) as rows) of vectors of one length: float64, or Python integers if some product leaves its range."""
     x = np.array(vectors, np.float64)
     fine = np.isfinite(x).all(1)
-    return np.flatnonzero(fine), np.floor(SCALE * x[fine])
+    with np.errstate(over="ignore"):
+        rows = np.floor(SCALE * x[fine])
+    if not np.isfinite(rows).all():  # components that large are whole numbers
+        rows = np.array([[int(v) * SCALE if abs(v) > 2.0**64 else int(np.floor(SCALE * v)) for v in r] for r in x[fine].tolist()], object)
+    return np.flatnonzero(fine), rows
 
 
 def by_length(vectors: list):
@@ -46,11 +50,19 @@ def by_length(vectors: list):
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of integer-valued rows: float64 where every partial sum stays below 2**53, else Python integers, held to the range of a long."""
-    if np.abs(a).max() * np.abs(b).max() * a.shape[1] < 2**53:
-        return (a @ b.T).astype(np.int64)
-    whole = np.array([[int(v) for v in r] for r in a], object) @ np.array([[int(v) for v in r] for r in b], object).T
-    return np.clip(whole, *_LONG).astype(np.int64)
+    """Exact inner products of integer rows: float64 for rows whose partial sums stay below 2**53, else Python integers, held to the range of a long."""
+    far = [np.abs(x).max(1).astype(object) for x in (a, b)]
+    if int(far[0].max()) * int(far[1].max()) * a.shape[1] < 2**53:
+        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
+    most = int((2**52 // a.shape[1]) ** 0.5)
+    small = [np.array([int(v) <= most for v in x]) for x in far]
+    out = np.empty((len(a), len(b)), np.int64)
+    out[np.ix_(*small)] = (a[small[0]].astype(np.float64) @ b[small[1]].astype(np.float64).T).astype(np.int64)
+    for rows, columns in ((~small[0], np.ones(len(b), bool)), (small[0], ~small[1])):
+        if rows.any() and columns.any():
+            x, y = (np.array([[int(v) for v in r] for r in m], object) for m in (a[rows], b[columns]))
+            out[np.ix_(rows, columns)] = np.clip(x @ y.T, *_LONG).astype(np.int64)
+    return out
 
 
 def select(scores: np.ndarray, k: int) -> np.ndarray:
@@ -141,7 +153,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         held: dict = {}
         for r in tiled.where(f"tile >= {begin} and tile < {begin + per_round}").collect():  # a round, bounded by ROUND_BYTES
             held.setdefault(len(r["embedding"]), {}).setdefault(r["tile"], []).append((r["vec_id"], r["embedding"]))
-        held = {d: {t: (np.array([i for i, _ in rows], np.int64), np.floor(SCALE * np.array([v for _, v in rows], np.float64))) for t, rows in of.items()} for d, of in held.items()}
+        held = {d: {t: (np.array([i for i, _ in rows], np.int64), integers([v for _, v in rows])[1]) for t, rows in of.items()} for d, of in held.items()}
         shared = spark.sparkContext.broadcast(held)
         part = cand.mapInArrow(_shard(shared, k), _PART)
         for _ in range(levels):

@@ -1,10 +1,10 @@
 """Toxicity by subword bags: a linear softmax over averaged character n-gram embeddings.
 
 A word's vector is the mean of its n-gram vectors ('<word>', 3 to 6 characters, hashed to buckets),
-a bag's the mean of its words' vectors; a bag holds up to BAG consecutive words, and a document's
-logit is a smooth maximum over its bags. Embeddings and softmax are trained together in numpy
-(Adam over the whole sample) by one task, over a bounded sample of the labelled rows. Unseen
-misspellings share n-grams with words seen in training.
+a bag's the mean of its words' vectors; every run of BAG words is a bag (all words of a shorter
+text are one), and a document's logit is a smooth maximum over its bags. Embeddings and softmax are
+trained together in numpy (Adam over the whole sample) by one task, over a bounded sample of the
+labelled rows. Unseen misspellings share n-grams with words seen in training.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 17
 DIM = 8
-BAG = 1
+BAG = 3
 GRAMS = (3, 4, 5, 6)
 PER_CLASS = 1200  # labelled rows of each class that training takes at most, by hash of doc_id
 STEPS = 50
@@ -24,7 +24,7 @@ RATE = 0.1
 DECAY = 1e-6
 SHARP = 3.0
 MIN_DOCS = 5  # n-gram buckets of fewer training documents stay zero
-
+ROWS = 256  # texts scored at once
 
 
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -68,9 +68,17 @@ def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.cumsum(out)
 
 
-def bag_counts(n_words: int) -> np.ndarray:
-    full, rest = divmod(n_words, BAG)
-    return np.array([BAG] * full + [rest] * bool(rest), np.int64)
+def bags(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, end) of every bag of texts of lengths[i] >= 1 words that follow one another, and the bags of each text."""
+    counts = np.maximum(lengths - BAG + 1, 1)
+    begin = np.cumsum(lengths) - lengths
+    first = _runs(begin, counts)
+    return first, first + np.minimum(np.repeat(lengths, counts), BAG), counts
+
+
+def _bag_means(values: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    total = np.concatenate([[0.0], np.cumsum(values)])
+    return (total[end] - total[first]) / (end - first)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -99,25 +107,43 @@ class Model:
     def __setstate__(self, state):
         (self.weight, self.bias), self.known = state, {}
 
-    def score(self, docs: list[list[str]]) -> np.ndarray:
-        if len(self.known) > 400_000:
+    def values(self, words: list[str]) -> np.ndarray:
+        """Each word's share of the logit, remembered for up to 300,000 words."""
+        if len(self.known) > 300_000:
             self.known.clear()
-        out = np.empty(len(docs))
+        new = list(set(words).difference(self.known))
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            ids, counts = grams(part)
+            self.known.update(zip(part, _means(self.weight[ids], counts).tolist()))
+        return np.fromiter(map(self.known.__getitem__, words), np.float64, len(words))
+
+    def score(self, docs: list[list[str]]) -> np.ndarray:
+        out = np.full(len(docs), float(self.bias))
         for i, words in enumerate(docs):
-            if not words:
-                out[i] = self.bias
-                continue
-            new = list({w for w in words if w not in self.known})
-            for at in range(0, len(new), 50_000):
-                part = new[at : at + 50_000]
-                ids, counts = grams(part)
-                self.known.update(zip(part, _means(self.weight[ids], counts).tolist()))
-            values = np.fromiter(map(self.known.__getitem__, words), np.float64, len(words))
-            bags = _means(values, bag_counts(len(words)))
-            out[i] = _pool(bags, np.array([len(bags)]))[0][0] + self.bias
+            if words:
+                first, end, counts = bags(np.array([len(words)]))
+                out[i] += _pool(_bag_means(self.values(words), first, end), counts)[0][0]
         return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
 
 
+def loss_and_gradient(params: list[np.ndarray], data: dict) -> tuple[float, list[np.ndarray]]:
+    """Weighted cross entropy (and decay of the embeddings) and its gradient by embeddings, softmax and bias."""
+    emb, soft, bias = params
+    ids, counts, tokens, first, end, per_doc, y, share, live = (data[k] for k in ("ids", "counts", "tokens", "first", "end", "per_doc", "y", "share", "live"))
+    way = soft[:, 1] - soft[:, 0]
+    logit, part = _pool(_bag_means(_means((emb @ way)[ids], counts)[tokens], first, end), per_doc)
+    logit = np.clip(logit + bias[1] - bias[0], -500, 500)
+    err = (1 / (1 + np.exp(-logit)) - y) * share
+    loss = float((share * (np.logaddexp(0, logit) - y * logit)).sum() + DECAY / 2 * (emb * emb).sum())
+    each = np.repeat(err, per_doc) * part / (end - first)
+    spread = np.cumsum(np.bincount(first, each, len(tokens) + 1) - np.bincount(end, each, len(tokens) + 1))[:-1]
+    to_word = np.bincount(tokens, spread, len(counts))
+    to_gram = np.bincount(ids, np.repeat(to_word / counts, counts), len(emb)) * live
+    to_way = emb.T @ to_gram
+    return loss, [to_gram[:, None] * way + DECAY * emb, np.stack([-to_way, to_way], 1), np.array([-err.sum(), err.sum()])]
+
+
 def train(texts: list[str | None], labels: list[int], seed: int = 7) -> Model:
     """The model for 0/1 labels; without both classes, a constant share of toxic rows."""
     index: dict[str, int] = {}
@@ -140,27 +166,15 @@ def train(texts: list[str | None], labels: list[int], seed: int = 7) -> Model:
         mine = np.unique(words)
         seen[np.unique(ids[_runs(ends[mine], counts[mine])])] += 1
     live = seen >= MIN_DOCS
-    bags = [bag_counts(len(d)) for d in parts]
-    per_doc, sizes, tokens = np.array([len(b) for b in bags]), np.concatenate(bags), np.concatenate(parts)
-    doc_of = np.repeat(np.arange(len(parts), dtype=np.int32), per_doc)
-    del parts, bags
-    of_word = np.repeat(np.arange(len(index), dtype=np.int32), counts)
+    first, end, per_doc = bags(np.array([len(d) for d in parts]))
     share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+    data = {"ids": ids, "counts": counts, "tokens": np.concatenate(parts), "first": first, "end": end, "per_doc": per_doc, "y": y, "share": share, "live": live}
+    del parts
     rng = np.random.default_rng(seed)
     params = [rng.normal(0, 0.3, (BUCKETS, DIM)) * live[:, None], rng.normal(0, 0.3, (DIM, 2)), np.zeros(2)]
     means, squares = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, STEPS + 1):
-        emb, soft, bias = params
-        way = soft[:, 1] - soft[:, 0]
-        bag = _means(_means((emb @ way)[ids], counts)[tokens], sizes)
-        logit, part = _pool(bag, per_doc)
-        p = 1 / (1 + np.exp(-np.clip(logit + bias[1] - bias[0], -500, 500)))
-        err = (p - y) * share
-        to_bag = err[doc_of] * part
-        to_word = np.bincount(tokens, np.repeat(to_bag / sizes, sizes), len(index))
-        to_gram = np.bincount(ids, (to_word / counts)[of_word], BUCKETS) * live
-        to_way = emb.T @ to_gram
-        grads = [to_gram[:, None] * way + DECAY * emb, np.stack([-to_way, to_way], 1), np.array([-err.sum(), err.sum()])]
+        _, grads = loss_and_gradient(params, data)
         for x, g, m, v in zip(params, grads, means, squares):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
@@ -183,7 +197,8 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
         rows = {}
         for b in batches:
             for i, text, label in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))):
-                rows[i] = (text, label)  # of repeated rows one
+                if i not in rows or (text or "") < (rows[i][0] or ""):  # of repeated rows the smallest text
+                    rows[i] = (text, label)
         rows = [rows.pop(k) for k in sorted(rows)]
         m = train([t for t, _ in rows], [y for _, y in rows])
         yield pa.RecordBatch.from_pydict({"weight": pa.array([m.weight.astype(np.float32).tobytes()], pa.binary()), "bias": [m.bias]})
@@ -208,8 +223,10 @@ def toxicity_scores(documents: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         m = shared.value
         for b in batches:
-            scores = m.score([words_of(x.as_py()) for x in b.column("text")])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], names=[*b.schema.names, "score"])
+            for at in range(0, b.num_rows, ROWS):
+                part = b.slice(at, ROWS)
+                scores = m.score([words_of(x.as_py()) for x in part.column("text")])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], names=[*b.schema.names, "score"])
 
     scored = docs.mapInArrow(run, schema)
     return scored.withColumn("held_out", held_out()).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

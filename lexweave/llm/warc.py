@@ -2,7 +2,7 @@
 
 A page becomes three records of one transaction: a request, a response (or a revisit, if an equal
 payload of at least MIN_REVISIT bytes has a smaller page_id) and a metadata record; request and
-metadata name the response in WARC-Concurrent-To. Archives are gzipped text files whose line
+metadata name the response in WARC-Concurrent-To, a revisit the record it repeats in WARC-Refers-To. Archives are gzipped text files whose line
 separator is WARC's record end, so Spark's own committer writes them; the reader goes by
 Content-Length alone and takes plain, gzipped and per-record-gzipped archives.
 """
@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MIN_REVISIT = 100
-SALTS = 128
-FILE_BYTES = 24 << 20
+FILE_BYTES = 24 << 20  # of a file, on average,
+MOST_BYTES = 1 << 30  # and at most, unless one record has more
+SALTS = 64  # parts that the revisits of one record are looked up in
 CRLF = "\r\n"
 RECORD = "warc_type string, record_id string, concurrent_to string, refers_to string, target_uri string, warc_date string, content_type string, page_id long, payload_bytes long, payload_digest string, payload binary, fields map<string,string>"
 
@@ -35,15 +36,16 @@ def _record(headers: list[tuple[str, Column]], block: Column) -> Column:
 
 
 def mark_revisits(pages: DataFrame, files: int) -> DataFrame:
-    """page_id, url, html (null: empty), size, digest, first: the smallest page_id with the same payload if it has MIN_REVISIT bytes.
+    """page_id, url, html (null: empty), size, digest, id, first: (page_id, id) of the row of smallest page_id, then id, with the same payload if it has MIN_REVISIT bytes.
 
-    A payload that fills a third of the table is spread over SALTS parts: each part's minimum, then
-    the minimum of these, goes back to the parts.
+    The rows of a payload are spread over as many parts as there are files, so one that fills a third
+    of the table fills a third of each file: each part's minimum, then the minimum of these, goes back
+    to the parts.
     """
     text = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), text.alias("html"))
-    rows = rows.select("*", F.octet_length("html").cast("long").alias("size"), F.sha2(F.col("html").cast("binary"), 256).alias("digest"), F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int").alias("salt"))
-    least = rows.where(f"size >= {MIN_REVISIT}").groupBy("digest", "salt").agg(F.min("page_id").alias("first"))
+    rows = rows.select("*", F.octet_length("html").cast("long").alias("size"), F.sha2(F.col("html").cast("binary"), 256).alias("digest"), F.pmod(F.xxhash64("page_id"), F.lit(files)).cast("int").alias("salt")).withColumn("id", _id("response"))
+    least = rows.where(f"size >= {MIN_REVISIT} and page_id is not null").groupBy("digest", "salt").agg(F.min(F.struct("page_id", "id")).alias("first"))
     whole = least.groupBy(F.col("digest").alias("d")).agg(F.min("first").alias("first"), F.count("*").alias("parts"))
     back = least.select("digest", "salt").join(whole, F.col("digest") == F.col("d")).select("digest", "salt", "first")
     return rows.repartition(files, "digest", "salt").join(back.repartition(files, "digest", "salt"), ["digest", "salt"], "left")
@@ -56,23 +58,24 @@ def write_archives(pages: DataFrame, path: str) -> None:
     and is never the first of its payload. Rows that repeat a page_id are records of their own;
     those with the smallest page_id of a payload are all responses.
     """
-    total = pages.agg(F.sum(F.octet_length(F.col("html").cast("string")) + 1500)).first()[0] or 0
-    rows = mark_revisits(pages, max(1, -(-total // FILE_BYTES)))
+    size = F.octet_length(F.col("html").cast("string")).cast("long")
+    total, most = pages.agg(F.sum(F.coalesce(size, F.lit(0)) + 1500), F.max(size)).first()
+    rows = mark_revisits(pages, max(1, -(-(total or 0) // FILE_BYTES)))
     page, null = F.col("page_id").cast("string"), F.lit(None).cast("string")
     uri = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce("url", F.lit("")), " ", "%20"), "\r", "%0D"), "\n", "%0A")
-    again = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
+    again = F.col("first").isNotNull() & ~F.col("first.page_id").eqNullSafe(F.col("page_id"))
     date = F.lit("2024-01-01T00:00:00Z")
     head = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("size").cast("string"), F.lit(CRLF * 2))
     common = [("WARC-Target-URI", uri), ("WARC-Date", date)]
     response = _record(
-        [("WARC-Type", F.when(again, "revisit").otherwise("response")), ("WARC-Record-ID", _id("response")), *common, ("Content-Type", F.lit("application/http; msgtype=response")), ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "digest")),
-         ("WARC-Profile", F.when(again, "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), ("WARC-Refers-To", F.when(again, F.concat(F.lit("<urn:page:"), F.col("first").cast("string"), F.lit(">"))))],
+        [("WARC-Type", F.when(again, "revisit").otherwise("response")), ("WARC-Record-ID", F.col("id")), *common, ("Content-Type", F.lit("application/http; msgtype=response")), ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "digest")),
+         ("WARC-Profile", F.when(again, "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), ("WARC-Refers-To", F.when(again, F.col("first.id")))],
         F.when(again, head).otherwise(F.concat(head, "html")),
     )
-    request = _record([("WARC-Type", F.lit("request")), ("WARC-Record-ID", _id("request")), ("WARC-Concurrent-To", _id("response")), *common, ("Content-Type", F.lit("application/http; msgtype=request"))], F.concat(F.lit("GET "), uri, F.lit(f" HTTP/1.1{CRLF * 2}")))
+    request = _record([("WARC-Type", F.lit("request")), ("WARC-Record-ID", _id("request")), ("WARC-Concurrent-To", F.col("id")), *common, ("Content-Type", F.lit("application/http; msgtype=request"))], F.concat(F.lit("GET "), uri, F.lit(f" HTTP/1.1{CRLF * 2}")))
     facts = F.concat(F.concat(F.lit("payloadBytes: "), F.col("size").cast("string"), F.lit(CRLF)), F.coalesce(F.concat(F.lit("pageId: "), page, F.lit(CRLF)), F.lit("")))
-    metadata = _record([("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", _id("metadata")), ("WARC-Concurrent-To", _id("response")), *common, ("Content-Type", F.lit("application/warc-fields"))], facts)
-    rows.select(F.explode(F.array(request, response, metadata)).alias("value")).write.option("lineSep", CRLF * 2).option("compression", "gzip").text(path)
+    metadata = _record([("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", _id("metadata")), ("WARC-Concurrent-To", F.col("id")), *common, ("Content-Type", F.lit("application/warc-fields"))], facts)
+    rows.select(F.explode(F.array(request, response, metadata)).alias("value")).write.option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", max(3, MOST_BYTES // ((most or 0) + 1500))).text(path)
 
 
 def inflate(data: bytes) -> bytes:
@@ -168,3 +171,18 @@ def assemble(rows: DataFrame) -> DataFrame:
     out = main.withColumnRenamed("record_id", "capture").drop("page_id", "concurrent_to").join(request, "capture", "left").join(metadata, "capture", "left")
     response = F.struct("target_uri", "warc_date", "content_type", "payload_digest", F.coalesce("payload_bytes", "metadata.payload_bytes").alias("payload_bytes"), "refers_to", "payload")
     return out.select("capture", F.col("warc_type").alias("record_type"), "request", response.alias("response"), "metadata")
+
+
+def resolved(captures: DataFrame) -> DataFrame:
+    """captures of assemble() with `original`: of a revisit the metadata of the capture that it refers to, null if that isn't there.
+
+    The revisits of one record are looked up in SALTS parts. The captures are read three times.
+    """
+    salt = F.pmod(F.xxhash64("capture"), F.lit(SALTS)).cast("int")
+    revisits = captures.where("record_type = 'revisit'").select("*", F.col("response.refers_to").alias("of"), salt.alias("salt"))
+    asked = revisits.where("of is not null").select("of", "salt").distinct()
+    named = captures.where("record_type = 'response'").groupBy(F.col("capture").alias("of")).agg(F.min("metadata").alias("original"))
+    found = asked.join(named, "of")
+    main = captures.where("record_type != 'revisit'")
+    none = F.lit(None).cast(captures.schema["metadata"].dataType).alias("original")
+    return revisits.join(found, ["of", "salt"], "left").select(*captures.columns, "original").union(main.select(*captures.columns, none))

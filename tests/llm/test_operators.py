@@ -1,8 +1,10 @@
 """The ten operators on small fixtures: brute force, round trips, held-out accuracy, and the odd cases."""
 
 import hashlib
+import math
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers as P
@@ -45,10 +47,10 @@ def test_components(spark):
 def test_topk(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.normal(size=4).round(1)]) for i in range(300)]
-    rows += [(300, None), (301, [1.0, None, 0.0, 0.0]), (302, [float("nan")] * 4), (303, []), (None, [1.0] * 4), (304, rows[5][1]), (400, [1e30] * 4)]
+    rows += [(300, None), (301, [1.0, None, 0.0, 0.0]), (302, [float("nan")] * 4), (303, []), (None, [1.0] * 4), (304, rows[5][1]), (400, [1e30] * 4), (401, [1.7e308, -1.7e308, 0.0, 1.0]), (500, [1.7e308, 1.0, 0.0, -3.0]), (402, [float(1 << 40)] * 4)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(7)
     got = sorted(map(tuple, top_k(df, df.where("vec_id % 100 = 0"), 10).collect()))
-    ints = {i: [int(np.floor(1024 * x)) for x in v] for i, v in rows if i is not None and v and None not in v and all(map(np.isfinite, v))}
+    ints = {i: [math.floor(1024 * Fraction(x)) for x in v] for i, v in rows if i is not None and v and None not in v and all(map(np.isfinite, v))}
     want = []
     for q in (i for i in ints if i % 100 == 0):
         s = sorted((-max(min(sum(a * b for a, b in zip(ints[q], ints[c])), 2**63 - 1), -(2**63)), c) for c in ints if c != q)[:10]
@@ -92,6 +94,67 @@ def test_jaccard_brute_force(spark):
     assert got == {i: find(i) for i in range(len(texts))}
 
 
+def classes_by_brute_force(rows):
+    """The component (its smallest id) of each row, by all pairs."""
+    sets = [{tuple(t.lower().split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} if t and t.split() else set() for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(least.get(find(i), d), d)
+    return [least[find(i)] for i in range(len(rows))]
+
+
+@pytest.mark.parametrize("limits", [(64, 2048), (3, 4)])
+def test_jaccard_of_large_groups(spark, monkeypatch, limits):
+    """Near copies of one text, most of them not alike to one another, and a passage that many texts share; with low limits the long lists and the dealt shingles are tried too."""
+    from lexweave.llm import ngram_jaccard
+
+    monkeypatch.setattr(ngram_jaccard, "LIST", limits[0])
+    monkeypatch.setattr(ngram_jaccard, "SALT_FROM", limits[1])
+    rng = random.Random(15)
+    base, passage = words(rng, 120).split(), words(rng, 60)
+    rows = [(0, " ".join(base))]
+    for i in range(1, 140):
+        t = list(base)
+        for k in range(rng.randrange(1, 9)):
+            t[rng.randrange(120)] = f"z{i}x{k}" if rng.random() < 0.7 else f"y{rng.randrange(4)}"
+        if rng.random() < 0.3:
+            del t[: rng.randrange(30)]
+        rows.append((i, " ".join(t)))
+    rows += [(200 + i, f"{words(rng, rng.randrange(1, 40))} {passage}") for i in range(40)]
+    got = {r.doc_id: r.component_id for r in jaccard_components(documents(spark, rows)).collect()}
+    assert got == dict(zip([d for d, _ in rows], classes_by_brute_force(rows)))
+
+
+def test_jaccard_of_one_id_with_several_texts(spark):
+    """Rows of one id are documents of their own, whatever their texts."""
+    rng = random.Random(16)
+    base, other = words(rng, 60), words(rng, 60)
+    near = lambda t, w: " ".join([*t.split()[:30], w, *t.split()[31:]])
+    rows = [(6, base), (12, other), (12, near(base, "a")), (13, near(other, "b")), (12, other), (14, words(rng, 60)), (14, words(rng, 60))]
+    docs = documents(spark, rows)
+    got = sorted((r.doc_id, r.text_hash, r.component_id) for r in jaccard_components(docs).collect())
+    hashes = {r.text: r.h for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    assert got == sorted((d, hashes[t], c) for (d, t), c in zip(rows, classes_by_brute_force(rows)))
+    from lexweave.llm.ngram_jaccard import one_of_each
+
+    extra = documents(spark, [*rows, (None, base), (None, base), (20, None), (20, None)])
+    kept = one_of_each(extra)
+    assert kept.columns == extra.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(6, base), (12, other), rows[5], rows[6], (None, base), (None, base), (20, None), (20, None)], key=str)
+
+
 def test_media(spark):
     rng = np.random.default_rng(2)
     sound = bytes(rng.integers(90, 160, 4000).astype(np.uint8))
@@ -158,9 +221,12 @@ def test_warc(spark, tmp_path):
     records = warc.read_records(spark, str(tmp_path / "w"), keep_payload=True)
     got = warc.assemble(records).collect()
     assert len(got) == len(pages) and records.count() == 3 * len(pages)
-    rows = sorted(((r.metadata.page_id, r.record_type, r.response.refers_to, r.response.payload_bytes) for r in got), key=str)
+    of = {r.capture: r.metadata.page_id for r in got}
+    rows = sorted(((r.metadata.page_id, r.record_type, of.get(r.response.refers_to), r.response.payload_bytes) for r in got), key=str)
     n = len(payload.encode())
-    assert rows == sorted([(1, "response", None, n), (3, "revisit", "<urn:page:1>", n), (2, "response", None, 0), (4, "response", None, 0), (5, "response", None, 5), (6, "response", None, 5), (7, "response", None, 300_000), (8, "revisit", "<urn:page:7>", 300_000), (8, "revisit", "<urn:page:7>", 300_000), (None, "revisit", "<urn:page:7>", 300_000)], key=str)
+    full = warc.resolved(warc.assemble(records)).collect()
+    assert sorted((str(r.capture), r.original and r.original.page_id) for r in full) == sorted((str(r.capture), of.get(r.response.refers_to)) for r in got)
+    assert rows == sorted([(1, "response", None, n), (3, "revisit", 1, n), (2, "response", None, 0), (4, "response", None, 0), (5, "response", None, 5), (6, "response", None, 5), (7, "response", None, 300_000), (8, "revisit", 7, 300_000), (8, "revisit", 7, 300_000), (None, "revisit", 7, 300_000)], key=str)
     kept = {r.metadata.page_id: bytes(r.response.payload) for r in got if r.record_type == "response"}
     assert kept[1] == payload.encode() and all(r.request is not None for r in got)
     warc.write_archives(df.limit(0), str(tmp_path / "none"))
@@ -297,6 +363,37 @@ def test_extension_by_brute_force():
             assert min(len(u), len(v)) >= 46 and 10 * len(u & v) >= 8 * len(u | v)
 
 
+def test_toxicity_gradient(monkeypatch):
+    """The forward pass against a plain one, and its gradient against differences."""
+    monkeypatch.setattr(toxicity, "BUCKETS", 40)
+    rng = np.random.default_rng(3)
+    texts = [["w%d" % rng.integers(9) for _ in range(n)] for n in (1, 2, 3, 7, 12)]
+    index = {w: i for i, w in enumerate(sorted({w for t in texts for w in t}))}
+    ids, counts = toxicity.grams(list(index))
+    first, end, per_doc = toxicity.bags(np.array([len(t) for t in texts]))
+    y = np.array([0, 1, 0, 1, 1])
+    data = {"ids": ids, "counts": counts, "tokens": np.array([index[w] for t in texts for w in t]), "first": first, "end": end, "per_doc": per_doc, "y": y, "share": np.full(5, 0.2), "live": np.ones(40, bool)}
+    params = [rng.normal(0, 1, (40, 3)), rng.normal(0, 1, (3, 2)), rng.normal(0, 1, 2)]
+    loss, grads = toxicity.loss_and_gradient(params, data)
+    vector = {w: params[0][ids[counts[:i].sum() : counts[: i + 1].sum()]].mean(0) for w, i in index.items()}
+    want = 0.0
+    for text, label in zip(texts, y):
+        runs = [text[i : i + toxicity.BAG] for i in range(max(1, len(text) - toxicity.BAG + 1))]
+        logits = [np.mean([vector[w] for w in run], 0) @ params[1] for run in runs]
+        top = np.log(sum(np.exp(toxicity.SHARP * (z[1] - z[0])) for z in logits)) / toxicity.SHARP + params[2][1] - params[2][0]
+        want += 0.2 * (np.log1p(np.exp(top)) - label * top)
+    assert loss == pytest.approx(want + toxicity.DECAY / 2 * (params[0] ** 2).sum())
+    for p, g in zip(params, grads):
+        for at in [tuple(rng.integers(n) for n in p.shape) for _ in range(12)]:
+            was, step = p[at], 1e-5
+            sides = []
+            for x in (was + step, was - step):
+                p[at] = x
+                sides.append(toxicity.loss_and_gradient(params, data)[0])
+            p[at] = was
+            assert g[at] == pytest.approx((sides[0] - sides[1]) / (2 * step), rel=1e-4, abs=1e-8)
+
+
 def test_toxicity(spark, odd):
     rng = random.Random(2)
     stems = ["grub", "snarf", "blort"]
@@ -318,6 +415,12 @@ def test_toxicity(spark, odd):
     more = toxicity.toxicity_scores(documents(spark, odd), model).collect()
     assert len(more) == len(odd) and all(0 <= r.score <= 1 for r in more)
     assert model.score([["unseen", "snarfling"]])[0] > model.score([["unseen", "w17"]])[0]
+    both = documents(spark, texts + [(1, "a a"), (1, None)])
+    assert (toxicity.fit(both, marks).weight == toxicity.fit(both.orderBy(F.desc("text")), marks).weight).all()
+    rank = np.argsort(np.argsort([r.score for r in held]))
+    toxic = np.array([r.doc_id % 4 == 0 for r in held])
+    auc = (rank[toxic].sum() - toxic.sum() * (toxic.sum() - 1) / 2) / (toxic.sum() * (~toxic).sum())
+    assert auc > 0.97
     none = toxicity.fit(docs, marks.limit(0))
     assert toxicity.toxicity_scores(docs.limit(0), none).isEmpty()
 
@@ -358,11 +461,17 @@ def test_packing_bounds():
 
 
 def test_packing_exchanges(spark):
+    """Rounds of exchange save bins, and the certificate tells how far a packing is from its bound."""
     rng = random.Random(1)
-    rows = [(i, 0, 0, rng.randrange(1, 2048), 0) for i in range(6000)]
+    rows = [(i, 0, 0, rng.randrange(1, 2049), 0) for i in range(9000)]
     cut = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
-    n = packing.pack(cut).select("sequence_id").distinct().count()
-    assert n <= 1.01 * packing.lower_bound(np.array([r[3] for r in rows]), 2048)
+    packed = packing.pack(cut)
+    n = packed.select("sequence_id").distinct().count()
+    bound = packing.lower_bound(np.array([r[3] for r in rows]), 2048)
+    assert tuple(packing.certificate(packed).first()) == (n, bound, n - bound) and n <= 1.01 * bound
+    alone = sum(len(packing.best_fit_decreasing(np.array([r[3] for r in rows if r[0] % 5 == k and r[3] < 2048]), 2048)[2]) for k in range(5)) + sum(r[3] == 2048 for r in rows)
+    assert n < alone
+    assert tuple(packing.certificate(packing.pack(cut.limit(0))).first()) == (0, 0, 0)
 
 
 def test_byte_bpe(spark, odd):
@@ -376,9 +485,38 @@ def test_byte_bpe(spark, odd):
     for i, x in texts:
         ids = t.encode_ordinary(x or "")
         assert got[i] == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((x or "").encode()).hexdigest())
-    for n in (97, 150, 1000):
-        w = "".join(random.Random(n).choice("theingé") for _ in range(n)).encode()
-        assert byte_bpe.by_heap(w, ranks) == t.encode_single_token(w) if w in ranks else byte_bpe.by_heap(w, ranks) == t._core_bpe.encode_single_piece(w)
+
+
+def test_byte_bpe_words_of_any_length(spark):
+    """Both recursive queries against the library, around the length that parts them and far beyond it, with ties."""
+    import tiktoken
+
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    ranks = byte_bpe.read_ranks(path)
+    t = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(4)
+    made = ["".join(rng.choice("theingéaeiou") for _ in range(n)) for n in (2, 30, 95, 96, 97, 150, 1000)] + ["a" * 3000, "ab" * 900, "日本語" * 300, "the"]
+    c = byte_bpe.Codec(ranks, P.PATTERN)
+    c.learn(made)
+    for w in made:
+        b = w.encode()
+        ids = [ranks[b]] if b in ranks else t._core_bpe.encode_single_piece(b)
+        assert c.words[w] == (",".join(map(str, ids)), len(ids), b)
+
+
+def test_codecs_are_told_apart_by_their_ranks():
+    """Two rank tables of one size and pattern."""
+    base = {bytes([i]): i for i in range(256)}
+    one, two = base | {b"ab": 256}, base | {b"bc": 256}
+    got = [byte_bpe.codec(byte_bpe.digest(r, "[a-z]+"), r, "[a-z]+").encode(["abc"])[0][0][0] for r in (one, two, one)]
+    assert got == ["256,99", "97,256", "256,99"]
+    with pytest.raises(RuntimeError):  # a cluster without a shared folder
+        from types import SimpleNamespace as S
+
+        from lexweave.llm.common import scratch_root
+
+        nothing = S(isDefined=lambda: False)
+        scratch_root(S(conf=S(get=lambda k, d: None), sparkContext=S(master="spark://x", _jsc=S(sc=lambda: S(getCheckpointDir=lambda: nothing)))))
 
 
 def test_pipeline(spark, tmp_path, odd):
