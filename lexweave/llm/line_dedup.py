@@ -6,8 +6,10 @@ each line shows keys (length, segment, substring): its own segments, and for eac
 the substrings that could be segments there. Keys are counted first (partial sums, so a line that
 fills a third of the corpus stays small); only keys of two different lines or more keep members.
 Members are tested against one leader a round, and what that links is contracted; after ROUNDS
-rounds all pairs across components are tested. Pairs whose character parities differ in more bits
-than EDITS edits can turn are not made. A test is a pigeonhole check on parts, then the edit
+rounds all pairs across components are tested. Pairs whose parities of characters, pairs and triples
+of characters differ in more bits than EDITS edits can turn are not made; keys of more than LIST
+lines are parted first: what a line has besides the shared piece is within EDITS edits of the other
+line's rest, so the rests show keys by the same partition, and lines meet on both. A test is a pigeonhole check on parts, then the edit
 distance by a bit-parallel automaton over the 2 EDITS + 1 diagonals of the band.
 """
 
@@ -22,10 +24,11 @@ EDITS = 2
 MIN_CHARS = 20
 PARTS = 8
 ROUNDS = 2
+LIST = 32
 
 
-def _keys(line: str, length: str, seed: int) -> str:
-    """SQL: all keys of a line, its own segments and the substrings to probe for shorter lines."""
+def _keys(line: str, length: str, seed: int, with_rest: bool = False) -> str:
+    """SQL: all keys of a line, its own segments and the substrings to probe for shorter lines; with_rest: structs of each key and what the line has besides."""
     out = []
     for less in range(EDITS + 1):
         whole = f"({length} - {less})"
@@ -34,7 +37,8 @@ def _keys(line: str, length: str, seed: int) -> str:
             begin = f"({seg} * ({whole} div {EDITS + 1}) + greatest(0, {seg} - ({EDITS + 1} - {whole} % {EDITS + 1})))"
             rest = EDITS - seg
             for shift in range(max(-seg, less - rest), min(seg, less + rest) + 1):
-                out.append(f"xxhash64({seed}, {whole}, {seg}, substring({line}, cast({begin} + {shift} + 1 as int), cast({size} as int)))")
+                key = f"xxhash64({seed}, {whole}, {seg}, substring({line}, cast({begin} + {shift} + 1 as int), cast({size} as int)))"
+                out.append(f"named_struct('key', {key}, 'rest', concat(substring({line}, 1, cast({begin} + {shift} as int)), substring({line}, cast({begin} + {shift} + {size} + 1 as int))))" if with_rest else key)
     return f"array({', '.join(out)})"
 
 
@@ -73,9 +77,28 @@ def within(a: str, b: str) -> str:
     return f"case when abs(length({a}) - length({b})) <= {EDITS} then case when {a} = {b} then 0 when {b} = '' then length({a}) else transform(array(named_struct('a', split({a}, ''), 'b', split({b}, ''))), v -> {walk})[0] end end"
 
 
+def _rows(documents: DataFrame) -> DataFrame:
+    """doc_id, text, and row: a hash of the text, which tells rows of one doc_id apart."""
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("row", F.xxhash64("text"))
+
+
 def _lines(documents: DataFrame) -> DataFrame:
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.length("line") >= MIN_CHARS)
+    docs = _rows(documents).where("doc_id is not null and text is not null")
+    return docs.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.length("line") >= MIN_CHARS)
+
+
+#: Parities of a line's characters c: name, SQL of a step's bit, characters that a step takes, bits that one edit turns at most.
+MARKS = (("marks", "ascii(c[i])", 1, 2), ("pairs", "xxhash64(c[i], c[i + 1])", 2, 4), ("triples", "xxhash64(c[i], c[i + 1], c[i + 2])", 3, 6))
+
+
+def _marks(line: str) -> list[Column]:
+    step = lambda bit, n: f"aggregate(sequence(0, size(c) - {n}), 0L, (m, i) -> m ^ shiftleft(1L, cast({bit} & 63 as int)))"
+    made = ", ".join(f"'{name}', {step(bit, n)}" for name, bit, n, _ in MARKS)
+    all_ = F.expr(f"transform(array(split({line}, '')), c -> named_struct({made}))[0]")
+    return [all_.getField(name).alias(name) for name, *_ in MARKS]
+
+
+_NEAR = " and ".join([*(f"bit_count(x.{name} ^ y.{name}) <= {bits * EDITS}" for name, _, _, bits in MARKS), f"abs(x.n - y.n) <= {EDITS}"])
 
 
 def _line_id(line: str, seed: int) -> Column:
@@ -88,18 +111,32 @@ def _few(members: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def _texts(ids: DataFrame, firsts: DataFrame, documents: DataFrame, seed: int) -> DataFrame:
-    """id, line and marks of the lines named by ids: bit c of marks is the parity of the count of characters c modulo 64, so an edit turns two bits at most."""
+    """id, line and MARKS of the lines named by ids."""
     where = write_table(firsts.join(ids, "id").select("id", "first.doc_id", "first.line_no"), "lines-where")
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    lines = with_ids(docs, where.select("doc_id").distinct(), "doc_id")
-    wanted = where.groupBy("doc_id").agg(F.collect_list("line_no").alias("want"))
-    lines = lines.join(wanted, "doc_id").select(F.explode(F.expr("transform(array(split(text, '\n')), ls -> transform(want, i -> get(ls, i)))[0]")).alias("line")).where("line is not null")
+    wanted = write_table(where.groupBy("doc_id").agg(F.collect_list("line_no").alias("want")), "lines-want")
+    lines = with_ids(_rows(documents).select("doc_id", "text"), wanted, "doc_id").select(F.explode(F.expr("transform(array(split(text, '\n')), ls -> transform(want, i -> get(ls, i)))[0]")).alias("line")).where("line is not null")
     found = lines.select(_line_id("line", seed).alias("id"), "line").join(where.select("id"), "id", "left_semi").dropDuplicates(["id"])
-    out = write_table(found.withColumn("marks", F.expr("aggregate(split(line, ''), 0L, (m, c) -> m ^ shiftleft(1L, ascii(c) & 63))")), "lines-texts")
+    out = write_table(found.select("id", "line", F.length("line").alias("n"), *_marks("line")), "lines-texts")
     drop_table(where)
+    drop_table(wanted)
     return out
 
 
+def _pairs(told: DataFrame, texts: DataFrame, seed: int) -> DataFrame:
+    """a, b: lines of one key and different labels that may be near; keys of more than LIST lines are parted by keys of the rests."""
+    size = F.count("*").over(Window.partitionBy("key"))
+    told = write_table(told.withColumn("size", size), "lines-told")
+    columns = ["id", "label", "n", *(m for m, *_ in MARKS)]
+    few, many = told.where(f"size <= {LIST}").select("key", *columns), told.where(f"size > {LIST}").select("key", *columns)
+    lines = texts.join(many.select("id").distinct(), "id", "left_semi").select("id", F.explode(F.expr(_keys("line", "length(line)", seed, with_rest=True))).alias("k"))
+    rests = many.join(lines.select("id", "k.key", "k.rest"), ["id", "key"]).withColumn("sub", F.explode(F.expr(_keys("rest", "length(rest)", seed))))
+    parted = rests.select(F.xxhash64("key", "sub").alias("key"), *columns).distinct()
+    both = few.union(parted)
+    x, y = both.alias("x"), both.alias("y")
+    met = x.join(y, F.expr(f"x.key = y.key and x.id < y.id and x.label != y.label and {_NEAR}"))
+    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+
+
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Of pairs (a, b) of line ids, those within EDITS edits."""
     side = lambda x: texts.select(F.col("id").alias(x), F.col("line").alias(f"l{x}"))
@@ -108,40 +145,40 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def line_classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(occurrences, classes): (doc_id, line_no, id) of every line of MIN_CHARS characters or more, and (id, n, rep_id, rep_doc, rep_line) of lines that occur twice or are near another.
+    """(occurrences, classes): (doc_id, row, line_no, id) of every line of MIN_CHARS characters or more, and (id, n, rep_id, rep_doc, rep_line, rep_row) of lines that occur twice or are near another.
 
     A class holds all lines that links of EDITS edits or fewer connect; rep is its first occurrence
-    by doc_id, then line number from 0. Shorter lines, null texts and rows with a null doc_id have
-    no part; rows that repeat a doc_id count as one document. Empty tables give empty ones.
+    by doc_id, then line number from 0, then row, a hash of the document's text. Shorter lines, null
+    texts and rows with a null doc_id have no part; rows alike in doc_id and text count as one
+    document, rows of one doc_id with different texts as several. Empty tables give empty ones.
     """
     seed = 0
     while True:  # a line's id is a 64-bit hash; should two lines share it, which a second hash tells, another seed is taken
         other = F.xxhash64(F.lit(seed + 1000), F.col("line"))
-        occ = write_table(_lines(documents).select("doc_id", "line_no", _line_id("line", seed).alias("id"), other.alias("other")), "lines-occ")
+        occ = write_table(_lines(documents).select("doc_id", "row", "line_no", _line_id("line", seed).alias("id"), other.alias("other")), "lines-occ")
         clash = occ.groupBy("id").agg(F.min("other").alias("lo"), F.max("other").alias("hi")).where("lo < hi")
         if clash.isEmpty():
             break
         drop_table(occ)
         seed += 1
-    firsts = write_table(occ.groupBy("id").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "line_no")).alias("first")), "lines-firsts")
+    firsts = write_table(occ.groupBy("id").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "line_no", "row")).alias("first")), "lines-firsts")
     index = _lines(documents).select(_line_id("line", seed).alias("id"), F.explode(F.expr(_keys("line", "length(line)", seed))).alias("key"))
     keys = write_table(index.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key"), "lines-keys")
     shown = write_table(_few(index, keys).distinct(), "lines-shown")
     texts = _texts(shown.select("id").distinct(), firsts, documents, seed)
-    members = write_table(shown.join(texts.select("id", "marks", F.length("line").alias("n")), "id"), "lines-members")
+    names = [m for m, *_ in MARKS]
+    members = write_table(shown.join(texts.select("id", "n", *names), "id"), "lines-members")
     drop_table(shown)
-    near = f"bit_count(x.marks ^ y.marks) <= {2 * EDITS} and abs(x.n - y.n) <= {EDITS}"
     same, roots, used = Window.partitionBy("key"), None, []
     for last in [False] * ROUNDS + [True]:
         told = members.withColumn("label", F.col("id"))
         if roots is not None:
             told = members.join(roots.select(F.col("node").alias("id"), F.col("root").alias("label")), "id", "left").withColumn("label", F.coalesce("label", "id"))
-        told = told.withColumn("lead", F.min(F.struct("label", "id", "marks", "n")).over(same)).withColumn("hi", F.max("label").over(same)).where("lead.label < hi")
+        told = told.withColumn("lead", F.min(F.struct("label", "id", "n", *names)).over(same)).withColumn("hi", F.max("label").over(same)).where("lead.label < hi")
         if last:
-            x, y = (told.select("key", "id", "label", "marks", "n").alias(side) for side in "xy")
-            pairs = x.join(y, F.expr(f"x.key = y.key and x.id < y.id and x.label != y.label and {near}")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+            pairs = _pairs(told.drop("lead", "hi"), texts, seed)
         else:
-            met = told.where("label != lead.label").where(near.replace("x.", "").replace("y.", "lead.")).groupBy("id", F.col("lead.id").alias("lead")).count()
+            met = told.where("label != lead.label").where(_NEAR.replace("x.", "").replace("y.", "lead.")).groupBy("id", F.col("lead.id").alias("lead")).count()
             pairs = met.groupBy("id").agg(F.max(F.struct("count", "lead")).alias("m")).select(F.col("m.lead").alias("a"), F.col("id").alias("b"))
         used.append(_linked(pairs, texts))
         links = used[0]
@@ -152,29 +189,29 @@ def line_classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         drop_table(t)
     labels = roots.select(F.col("node").alias("id"), "root")
     lines = firsts.join(labels, "id", "left").where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "id"))
-    reps = lines.groupBy("root").agg(F.min(F.struct("first.doc_id", "first.line_no", "id")).alias("rep"))
-    classes = write_table(lines.join(reps, "root").select("id", "n", F.col("rep.id").alias("rep_id"), F.col("rep.doc_id").alias("rep_doc"), F.col("rep.line_no").alias("rep_line")), "lines-classes")
+    reps = lines.groupBy("root").agg(F.min(F.struct("first.doc_id", "first.line_no", "first.row", "id")).alias("rep"))
+    classes = write_table(lines.join(reps, "root").select("id", "n", F.col("rep.id").alias("rep_id"), F.col("rep.doc_id").alias("rep_doc"), F.col("rep.line_no").alias("rep_line"), F.col("rep.row").alias("rep_row")), "lines-classes")
     drop_table(firsts)
     return occ, classes
 
 
 def removed_lines(documents: DataFrame) -> DataFrame:
-    """doc_id, line_no, id, rep_doc, rep_line, near: every occurrence but the first of each class of lines."""
+    """doc_id, row, line_no, id, rep_doc, rep_line, near: every occurrence but the first of each class of lines; rows alike once."""
     occ, classes = line_classes(documents)
     small = F.broadcast(classes) if classes.count() <= BROADCAST_IDS else classes
-    return occ.join(small, "id").where("not (doc_id = rep_doc and line_no = rep_line)").select("doc_id", "line_no", "id", "rep_doc", "rep_line", (F.col("id") != F.col("rep_id")).alias("near"))
+    gone = occ.join(small, "id").where("not (doc_id = rep_doc and line_no = rep_line and row = rep_row)")
+    return gone.select("doc_id", "row", "line_no", "id", "rep_doc", "rep_line", (F.col("id") != F.col("rep_id")).alias("near"))
 
 
 def line_report(documents: DataFrame) -> DataFrame:
     """A row per document row: doc_id, n_lines, n_exact and n_near (lines removed as copies and as near copies), removed: 'line_no>rep_doc:rep_line' of each, joined by commas."""
-    gone = removed_lines(documents).dropDuplicates(["doc_id", "line_no", "id"])
     one = F.concat(F.col("line_no").cast("string"), F.lit(">"), F.col("rep_doc").cast("string"), F.lit(":"), F.col("rep_line").cast("string"))
-    per = gone.withColumn("one", one).groupBy("doc_id").agg(
-        F.count_if(~F.col("near")).alias("n_exact"), F.count_if(F.col("near")).alias("n_near"), F.array_sort(F.collect_list(F.struct("line_no", "one"))).alias("all")
-    )
-    per = per.select("doc_id", "n_exact", "n_near", F.expr("array_join(transform(all, x -> x.one), ',')").alias("removed"))
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.size(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")).cast("long").alias("n_lines"))
-    return docs.join(per, "doc_id", "left").select("doc_id", "n_lines", F.coalesce("n_exact", F.lit(0).cast("long")).alias("n_exact"), F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), F.coalesce("removed", F.lit("")).alias("removed"))
+    per = removed_lines(documents).groupBy(F.col("doc_id").alias("gone_doc"), F.col("row").alias("gone_row")).agg(F.collect_set(F.struct("line_no", one.alias("one"), "near")).alias("all"))
+    size = lambda p: f"cast(size(filter(all, x -> {p})) as long)"
+    per = per.select("gone_doc", "gone_row", F.expr(size("not x.near")).alias("n_exact"), F.expr(size("x.near")).alias("n_near"), F.expr("array_join(transform(array_sort(all), x -> x.one), ',')").alias("removed"))
+    docs = _rows(documents).select("doc_id", "row", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"))
+    met = docs.join(per, (F.col("doc_id") == F.col("gone_doc")) & (F.col("row") == F.col("gone_row")), "left")
+    return met.select("doc_id", "n_lines", F.coalesce("n_exact", F.lit(0).cast("long")).alias("n_exact"), F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), F.coalesce("removed", F.lit("")).alias("removed"))
 
 
 def dedup_lines(documents: DataFrame) -> DataFrame:
@@ -182,9 +219,9 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
 
     Every row stays, with an empty text if no line is left; what has no removed line is unchanged.
     """
-    gone = removed_lines(documents).groupBy(F.col("doc_id").alias("gone_doc")).agg(F.collect_set("line_no").alias("gone_lines"))
-    docs, back = hidden(documents, "gone_doc", "gone_lines")
-    out = docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_doc"), "left")
+    gone = removed_lines(documents).groupBy(F.col("doc_id").alias("gone_doc"), F.col("row").alias("gone_row")).agg(F.collect_set("line_no").alias("gone_lines"))
+    docs, back = hidden(documents, "gone_doc", "gone_row", "gone_lines")
+    out = docs.join(gone, (F.col("doc_id").cast("long") == F.col("gone_doc")) & (F.xxhash64(F.col("text").cast("string")) == F.col("gone_row")), "left")
     text = F.when(F.col("gone_lines").isNull(), F.col("text")).otherwise(F.expr("array_join(transform(array(split(text, '\n')), ls -> transform(array_except(sequence(0, size(ls) - 1), gone_lines), i -> ls[i]))[0], '\n')"))
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.col("gone_lines").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long")))

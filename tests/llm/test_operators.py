@@ -254,6 +254,63 @@ def test_line_dedup(spark):
     assert line_dedup.line_report(documents(spark, texts).limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("limit", [32, 2])
+def test_line_dedup_by_brute_force(spark, monkeypatch, limit):
+    """Many variants of few lines, most of them beyond two edits of one another; with a low limit every key is parted."""
+    monkeypatch.setattr(line_dedup, "LIST", limit)
+    rng = random.Random(12)
+    lines = []
+    for _ in range(4):
+        base = words(rng, 12)
+        for _ in range(30):
+            t = list(base)
+            for _ in range(rng.randrange(6)):
+                i = rng.randrange(len(t))
+                t[i : i + rng.randrange(2)] = rng.choice(["x", "", "é"])
+            lines.append("".join(t))
+    docs = [(i, "\n".join(lines[4 * i : 4 * i + 4])) for i in range(30)]
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, c in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, d in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (c != d))
+        return row[-1]
+
+    kinds = sorted(set(lines), key=lines.index)
+    root = {x: x for x in kinds}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, x in enumerate(kinds):
+        for y in kinds[:i]:
+            if abs(len(x) - len(y)) <= 2 and distance(x, y) <= 2:
+                a, b = sorted((find(x), find(y)), key=kinds.index)
+                root[b] = a
+    want = {}
+    for i, x in enumerate(lines):
+        first = lines.index(find(x))
+        if first != i:
+            want.setdefault(i // 4, []).append((i % 4, first, find(x) != x))
+    got = {r.doc_id: (r.n_exact, r.n_near, r.removed) for r in line_dedup.line_report(documents(spark, docs)).collect()}
+    for i, _ in docs:
+        gone = want.get(i, [])
+        assert got[i] == (sum(not n for *_, n in gone), sum(n for *_, n in gone), ",".join(f"{k}>{f // 4}:{f % 4}" for k, f, _ in gone))
+
+
+def test_line_dedup_of_one_id_with_several_texts(spark):
+    """A line that repeats in one row of an id leaves the other row of that id as it is; rows alike are one document."""
+    rng = random.Random(13)
+    a, b, c, d = (words(rng, 8) for _ in range(4))
+    rows = [(1, f"{a}\n{b}"), (2, f"{a}\n{c}"), (2, f"{d}\n{b}"), (3, f"{words(rng, 9)}"), (2, f"{a}\n{c}"), (4, "y" * 300_000)]
+    got = sorted(r.text for r in line_dedup.dedup_lines(documents(spark, rows)).collect())
+    assert got == sorted([rows[0][1], c, c, d, rows[3][1], rows[5][1]])
+
+
 def test_bit_parallel_distance(spark):
     rng = random.Random(6)
     pairs = []
