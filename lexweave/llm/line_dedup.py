@@ -24,24 +24,31 @@ EDITS = 2
 MIN_CHARS = 20
 PARTS = 8
 ROUNDS = 2
-LIST = 32
+LIST = 512
 
 
-def _keys(line: str, length: str, seed: int, with_rest: bool = False) -> str:
-    """SQL: all keys of a line, its own segments and the substrings to probe for shorter lines; with_rest: structs of each key and what the line has besides."""
+def _places() -> str:
+    """SQL: an array of (less, seg, shift): which segment of lines how many characters shorter a key shows, and how far from its place there. With less 0 and shift 0 it is the line's own."""
     out = []
     for less in range(EDITS + 1):
-        whole = f"({length} - {less})"
         for seg in range(EDITS + 1):
-            size = f"({whole} div {EDITS + 1} + case when {seg} >= {EDITS + 1} - {whole} % {EDITS + 1} then 1 else 0 end)"
-            begin = f"({seg} * ({whole} div {EDITS + 1}) + greatest(0, {seg} - ({EDITS + 1} - {whole} % {EDITS + 1})))"
             rest = EDITS - seg
-            for shift in range(max(-seg, less - rest), min(seg, less + rest) + 1):
-                key = f"xxhash64({seed}, {whole}, {seg}, substring({line}, cast({begin} + {shift} + 1 as int), cast({size} as int)))"
-                out.append(f"named_struct('key', {key}, 'rest', concat(substring({line}, 1, cast({begin} + {shift} as int)), substring({line}, cast({begin} + {shift} + {size} + 1 as int))))" if with_rest else key)
+            out += [f"named_struct('less', {less}, 'seg', {seg}, 'shift', {k})" for k in range(max(-seg, less - rest), min(seg, less + rest) + 1)]
     return f"array({', '.join(out)})"
 
 
+def _shown(lines: DataFrame, line: str, n: str, seed: int, with_rest: bool = False) -> DataFrame:
+    """lines with `key`, a row for each key of a line of n characters: its own segments and the substrings to probe for shorter lines; with_rest: also `rest`, what the line has besides. The rows are made one after the other, so their code stays short."""
+    kept = lines.columns
+    at = lines.withColumn("at", F.explode(F.expr(_places()))).select(*kept, "at.seg", "at.shift", F.expr(f"{n} - at.less").alias("whole"))
+    cut = at.select("*", F.expr(f"cast(whole div {EDITS + 1} as int)").alias("base"), F.expr(f"seg + whole % {EDITS + 1}").alias("more"))
+    cut = cut.select(*kept, "seg", "whole", F.expr(f"base + cast(more div {EDITS + 1} as int)").alias("size"), F.expr(f"seg * base + greatest(0, more - {EDITS + 1}) + shift").alias("begin"))
+    out = [*kept, F.expr(f"xxhash64({seed}, whole, seg, substring({line}, begin + 1, size))").alias("key")]
+    if with_rest:
+        out.append(F.expr(f"concat(substring({line}, 1, begin), substring({line}, begin + size + 1))").alias("rest"))
+    return cut.select(*out)
+
+
 def _alike(a: str, b: str) -> str:
     """SQL: at most EDITS of PARTS parts of a are missing in b near their place; a distance of EDITS or less implies it."""
     found = []
@@ -84,7 +91,8 @@ def _rows(documents: DataFrame) -> DataFrame:
 
 def _lines(documents: DataFrame) -> DataFrame:
     docs = _rows(documents).where("doc_id is not null and text is not null")
-    return docs.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.length("line") >= MIN_CHARS)
+    lines = docs.select("doc_id", "row", F.posexplode(F.expr("transform(split(text, '\n'), l -> named_struct('line', l, 'n', length(l)))")).alias("line_no", "x"))
+    return lines.select("doc_id", "row", "line_no", "x.line", "x.n").where(f"n >= {MIN_CHARS}")
 
 
 #: Parities of a line's characters c: name, SQL of a step's bit, characters that a step takes, bits that one edit turns at most.
@@ -128,9 +136,9 @@ def _pairs(told: DataFrame, texts: DataFrame, seed: int) -> DataFrame:
     told = write_table(told.withColumn("size", size), "lines-told")
     columns = ["id", "label", "n", *(m for m, *_ in MARKS)]
     few, many = told.where(f"size <= {LIST}").select("key", *columns), told.where(f"size > {LIST}").select("key", *columns)
-    lines = texts.join(many.select("id").distinct(), "id", "left_semi").select("id", F.explode(F.expr(_keys("line", "length(line)", seed, with_rest=True))).alias("k"))
-    rests = many.join(lines.select("id", "k.key", "k.rest"), ["id", "key"]).withColumn("sub", F.explode(F.expr(_keys("rest", "length(rest)", seed))))
-    parted = rests.select(F.xxhash64("key", "sub").alias("key"), *columns).distinct()
+    lines = _shown(texts.join(many.select("id").distinct(), "id", "left_semi").select("id", "line", F.col("n").alias("chars")), "line", "chars", seed, with_rest=True)
+    rests = many.join(lines.select("id", "key", "rest"), ["id", "key"]).select(F.col("key").alias("whole_key"), *columns, "rest", F.length("rest").alias("chars"))
+    parted = _shown(rests, "rest", "chars", seed).select(F.xxhash64("whole_key", "key").alias("key"), *columns).distinct()
     both = few.union(parted)
     x, y = both.alias("x"), both.alias("y")
     met = x.join(y, F.expr(f"x.key = y.key and x.id < y.id and x.label != y.label and {_NEAR}"))
@@ -162,7 +170,7 @@ def line_classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         drop_table(occ)
         seed += 1
     firsts = write_table(occ.groupBy("id").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "line_no", "row")).alias("first")), "lines-firsts")
-    index = _lines(documents).select(_line_id("line", seed).alias("id"), F.explode(F.expr(_keys("line", "length(line)", seed))).alias("key"))
+    index = _shown(_lines(documents).select(_line_id("line", seed).alias("id"), "line", "n"), "line", "n", seed).select("id", "key")
     keys = write_table(index.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key"), "lines-keys")
     shown = write_table(_few(index, keys).distinct(), "lines-shown")
     texts = _texts(shown.select("id").distinct(), firsts, documents, seed)

@@ -254,7 +254,7 @@ def test_line_dedup(spark):
     assert line_dedup.line_report(documents(spark, texts).limit(0)).isEmpty()
 
 
-@pytest.mark.parametrize("limit", [32, 2])
+@pytest.mark.parametrize("limit", [512, 2])
 def test_line_dedup_by_brute_force(spark, monkeypatch, limit):
     """Many variants of few lines, most of them beyond two edits of one another; with a low limit every key is parted."""
     monkeypatch.setattr(line_dedup, "LIST", limit)
