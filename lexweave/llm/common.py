@@ -58,7 +58,7 @@ def drop_table(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def with_ids(rows: DataFrame, ids: DataFrame, key: str | list[str]) -> DataFrame:
+def with_ids(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Inner join of a wide table with a narrow table of keys (a written one, as it is counted first); broadcasts the keys only if they are few."""
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key)
 
@@ -153,3 +153,16 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
         left = new
     drop_table(left)
     return nodes
+
+
+def merged(roots: DataFrame | None, links: DataFrame, name: str = "cc") -> DataFrame:
+    """The components (node, root) of roots, if there are any, after more links (a, b: long)."""
+    if roots is None:
+        return components(links, name)
+    old = roots.select(F.col("node").alias("x"), F.col("root").alias("r"))
+    at = lambda side: F.coalesce(F.col(f"{side}.r"), F.col(f"l.{side}"))
+    across = links.alias("l").join(old.alias("a"), F.expr("l.a = a.x"), "left").join(old.alias("b"), F.expr("l.b = b.x"), "left").select(at("a").alias("a"), at("b").alias("b"))
+    top = components(across, name).select(F.col("node").alias("was"), F.col("root").alias("top"))
+    known = roots.join(top, F.col("root") == F.col("was"), "left").select("node", F.coalesce("top", "root").alias("root"))
+    new = top.join(roots, F.col("was") == F.col("node"), "left_anti").select(F.col("was").alias("node"), F.col("top").alias("root"))
+    return write_table(known.union(new), name)

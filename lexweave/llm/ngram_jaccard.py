@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, WordHash, components, drop_table, hidden, shingles, with_ids, words_of, write_table
+from .common import BROADCAST_IDS, WordHash, drop_table, hidden, merged, shingles, with_ids, words_of, write_table
 
 SLOTS = 1 << 20  # of the count sketch
 BLOCKS = 16  # it travels in pieces of SLOTS / BLOCKS counts
@@ -47,6 +47,7 @@ FEW = 0.5  # rounds of testing each class against one leader end at this many pa
 WORTH = 50  # or when less than one test in WORTH links
 LIST = 64
 SALTS = 16
+SPREAD = 4  # tasks that meet the classes of one such shingle
 SALT_FROM = 2048  # documents more than usual in a slot: its shingles are dealt to SALTS tasks
 SIZE_STEP = 1.05  # ratio of the sizes that one bucket of sizes spans
 REMEMBERED = 2_000_000  # shingles of texts that a testing task keeps at hand
@@ -232,8 +233,8 @@ def _test(batches):
 
 def _texts(want: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The rows of want (cls and more) with a text of each class."""
-    ids = write_table(want.join(classes.select("cls", "rep", "rep_hash"), "cls").select(F.col("rep").alias("doc_id"), F.col("rep_hash").alias("text_hash"), *want.columns), "jaccard-ids")
-    return with_ids(docs, ids, ["doc_id", "text_hash"]).dropDuplicates(["cls"])
+    ids = write_table(want.join(classes.select("cls", "rep", "rep_hash"), "cls").select(F.col("rep").alias("doc_id"), F.col("rep_hash").alias("want_hash"), *want.columns), "jaccard-ids")
+    return with_ids(docs, ids, "doc_id").where("text_hash = want_hash").dropDuplicates(["cls"])
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -262,19 +263,6 @@ def _labelled(multi: DataFrame, roots: DataFrame | None) -> DataFrame:
     return multi.join(roots.select(F.col("node").alias("cls"), F.col("root").alias("label")), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
 
 
-def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
-    """The components (node, root) after more links."""
-    if roots is None:
-        return components(links, "jaccard-cc")
-    old = roots.select(F.col("node").alias("x"), F.col("root").alias("r"))
-    at = lambda side: F.coalesce(F.col(f"{side}.r"), F.col(f"l.{side}"))
-    across = links.alias("l").join(old.alias("a"), F.expr("l.a = a.x"), "left").join(old.alias("b"), F.expr("l.b = b.x"), "left").select(at("a").alias("a"), at("b").alias("b"))
-    top = components(across, "jaccard-cc").select(F.col("node").alias("was"), F.col("root").alias("top"))
-    known = roots.join(top, F.col("root") == F.col("was"), "left").select("node", F.coalesce("top", "root").alias("root"))
-    new = top.join(roots, F.col("was") == F.col("node"), "left_anti").select(F.col("was").alias("node"), F.col("top").alias("root"))
-    return write_table(known.union(new), "jaccard-cc")
-
-
 def _stars(told: DataFrame) -> DataFrame:
     """a, b: each class and the leader it is tested against. A list dealt to several tasks has a leader in each, and these meet the first of them."""
     part = Window.partitionBy("token", "salt")
@@ -305,8 +293,8 @@ def _across(hot: DataFrame, classes: DataFrame, docs: DataFrame, counts) -> Data
     first = write_table(first, "jaccard-first")
     differ = " + ".join(f"bit_count(x.m{m} ^ y.m{m})" for m in range(MARKS))
     least = f"greatest(1, floor(n * {NUM} / {DEN}))"
-    x = first.where(f"most >= {least}").withColumn("bucket", F.explode(F.expr(f"sequence({bucket(least)}, greatest({bucket(least)}, {bucket(f'least(most, ceil(n * {DEN} / {NUM}))')}))"))).alias("x")
-    y = first.withColumn("salt", F.explode(F.expr(f"case when salt > 0 then sequence(1, {SALTS}) else array(0) end"))).withColumn("bucket", F.expr(bucket("n"))).alias("y")
+    x = first.where(f"most >= {least}").withColumn("salt", F.expr(f"salt % {SPREAD}")).withColumn("bucket", F.explode(F.expr(f"sequence({bucket(least)}, greatest({bucket(least)}, {bucket(f'least(most, ceil(n * {DEN} / {NUM}))')}))"))).alias("x")
+    y = first.withColumn("salt", F.explode(F.expr(f"case when salt > 0 then sequence(0, {SPREAD - 1}) else array(0) end"))).withColumn("bucket", F.expr(bucket("n"))).alias("y")
     met = x.join(y, F.expr(f"x.token = y.token and x.salt = y.salt and x.bucket = y.bucket and x.label != y.label and (x.most < y.most or x.most = y.most and x.cls < y.cls) and y.n <= x.most and x.n <= y.most and ({NUM} + {DEN}) * least(x.cap, y.cap) >= {NUM} * (x.n + y.n) and {differ} <= x.n + y.n - 2 * ceil({NUM} * (x.n + y.n) / {NUM + DEN})"))
     out = write_table(met.select(F.expr("least(x.cls, y.cls)").alias("a"), F.expr("greatest(x.cls, y.cls)").alias("b")).distinct(), "jaccard-across")
     drop_table(full)
@@ -349,7 +337,7 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     while True:
         star = write_table(_stars(_labelled(multi, roots)), "jaccard-star")
         links.append(_verified(star, classes, docs))
-        roots = _merged(roots, links[-1])
+        roots = merged(roots, links[-1], "jaccard-cc")
         tried, made = star.count(), links[-1].count()
         drop_table(star)
         sizes = _labelled(multi, roots).groupBy("token", "label").count().groupBy("token").agg(F.sum("count").alias("s"), F.sum(F.expr("count * count")).alias("q"))
@@ -366,7 +354,7 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     pairs = met.groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).agg(F.count("*").alias("shared"), F.min(F.expr("least(x.k, y.k)")).alias("k")).where("shared >= k").select("a", "b")
     hot = write_table(told.where(f"size > {LIST} or size is null").select("cls", "label").distinct(), "jaccard-hot")
     across = _across(hot, classes, docs, counts)
-    roots = _merged(roots, _verified(pairs.union(across).distinct(), classes, docs))
+    roots = merged(roots, _verified(pairs.union(across).distinct(), classes, docs), "jaccard-cc")
     for t in (multi, told, hot, across, *links):
         drop_table(t)
     first = roots.select(F.col("node").alias("cls"), F.col("root").alias("top"))

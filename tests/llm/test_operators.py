@@ -374,6 +374,60 @@ def test_passages_recall(spark):
     assert len(got) >= 198
 
 
+def test_windows_of_tied_tokens():
+    """One repeated word, and few words that take turns: windows cover every passage once, in few steps."""
+    import time
+
+    for h in (np.zeros(60_000, np.uint64), np.arange(60_000, dtype=np.uint64) % 7):
+        began = time.time()
+        found = compact_windows(h)
+        assert time.time() - began < 5 and len(found) <= len(h) / 20
+    short = np.array([3, 3, 3, 1, 1, 3, 1, 2, 2, 1] * 2)
+    seen = set()
+    for l, c, r in compact_windows(short, 4):
+        for i in range(l, c + 1):
+            for j in range(c, r + 1):
+                if j - i + 1 >= 4:
+                    assert (i, j) not in seen and short[c] == short[i : j + 1].min()
+                    seen.add((i, j))
+    assert len(seen) == sum(20 - n + 1 for n in range(4, 21))
+
+
+def test_passages_against_all_pairs(spark):
+    """Every text that has an alike passage of 50 words with another, by all windows of all pairs, has a row, and no other has; texts of ties, clashing columns and several texts of one id too."""
+    rng = random.Random(31)
+    source = [words(rng, 70).split() for _ in range(5)]
+    texts = []
+    for k in range(40):
+        t = list(rng.choice(source))
+        for _ in range(rng.randrange(9)):
+            i = rng.randrange(len(t))
+            t[i : i + rng.randrange(2)] = [f"q{rng.randrange(10**6)}"] * rng.randrange(2)
+        texts.append((k, f"{words(rng, rng.randrange(30))} {' '.join(t)} {words(rng, rng.randrange(30))}"))
+    texts += [(50, "a " * 400), (51, "b a " * 60), (60, words(rng, 90)), (60, words(rng, 90)), (61, "é" * 100_000)]
+    tokens = [(d, [tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)]) for d, t in texts]
+
+    def alike(x, y):
+        for n in (46, 48, 51):
+            for i in range(len(x) - n + 1):
+                s = set(x[i : i + n])
+                for j in range(len(y) - 45):
+                    if x[i] in y[j : j + 6]:
+                        for m in (46, 48, 51):
+                            u = set(y[j : j + m])
+                            if len(y) - j >= m and 10 * len(s & u) >= 8 * len(s | u):
+                                return True
+        return False
+
+    want = set()
+    for i, (d, x) in enumerate(tokens[:40]):
+        for e, y in tokens[:i]:
+            if len(set(x) & set(y)) >= 41 and alike(x, y):
+                want |= {d, e}
+    got = {r.doc_id for r in shared_passages(documents(spark, texts)).collect()}
+    assert len(want - got) <= 0.05 * len(want) and got <= {d for i, (d, x) in enumerate(tokens) for e, y in tokens if d != e and len(set(x) & set(y)) >= 37}
+
+
 def test_overlap_of_intervals(spark):
     """Windows that share a minimum meet only on intervals that overlap by 37 tokens."""
     w = spark.createDataFrame([(0, 10, 20, 0, 10, 20), (0, 30, 90, 0, 30, 90), (60, 60, 200, 0, 60, 60), (0, 10, 60, 0, 50, 76)], "xl int, xc int, xr int, yl int, yc int, yr int")
@@ -414,8 +468,8 @@ def test_extension_by_brute_force():
         i = rng.choice([i for i in range(len(x)) if x[i] in y])
         got = _extended(x, y, i, y.tolist().index(x[i]))
         if 10 * both >= 8 * (len(s) + len(t) - both) and min(len(s), len(t)) >= 46:
-            assert got is not None and got[0][1] - got[0][0] >= both
-        if got is not None:
+            assert got[0] is not None and got[0][1] - got[0][0] >= both
+        if got[0] is not None:
             u, v = set(x[got[0][0] : got[0][1]].tolist()), set(y[got[0][2] : got[0][3]].tolist())
             assert min(len(u), len(v)) >= 46 and 10 * len(u & v) >= 8 * len(u | v)
 
