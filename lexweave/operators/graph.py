@@ -55,10 +55,18 @@ def two_hop(edges: DataFrame, kind: str = "synonym") -> DataFrame:
     return far.join(one, ["src", "dst"], "left_anti")
 
 
-def tiers(edges: DataFrame) -> DataFrame:
-    """each related pair once, in the tier of highest priority."""
+def other_senses(senses: DataFrame) -> DataFrame:
+    """pairs of live senses of one lexeme."""
+    live_ = senses.where("not retired").select("lexeme_id", F.col("sense_key").alias("src"))
+    return live_.join(live_.withColumnRenamed("src", "dst"), "lexeme_id").where("src != dst").select("src", "dst")
+
+
+def tiers(edges: DataFrame, senses: DataFrame | None = None) -> DataFrame:
+    """each related pair once, in the tier of highest priority; other senses of a lexeme are a tier if senses are given."""
     hyper = edges.where("type = 'hypernym' and src != dst").select("src", "dst")
     pools = {"synonym": symmetrised(edges, "synonym"), "hypernym": hyper, "co_hyponym": co_hyponyms(edges), "confusable": symmetrised(edges, "confusable"), "synonym_of_synonym": two_hop(edges)}
+    if senses is not None:
+        pools["other_sense"] = other_senses(senses)
     out = None
     for name, pool in pools.items():
         ranked = pool.select("src", "dst", F.lit(TIERS.index(name)).alias("rank"))
