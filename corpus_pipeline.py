@@ -8,11 +8,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lexweave.llm import line_dedup, packing, secrets, toxicity
-from lexweave.llm.common import BROADCAST_IDS, hidden, write_table
-from lexweave.llm.ngram_jaccard import jaccard_components
+from lexweave.llm.common import hidden, write_table
+from lexweave.llm.ngram_jaccard import one_of_each
 
 #: The stages and the order are no SQL: the first learns a model, the last runs a tokenizer.
 ORACLE_SQL = None
@@ -32,12 +31,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones, that with the smallest doc_id; of repeated rows one. Documents without words stay."""
-    found = jaccard_components(docs)
-    gone = write_table(found.where("component_id != doc_id").select("doc_id").distinct(), "pipeline-gone")
-    kept = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti")
-    if not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "text"])
-    return kept.select(*docs.columns)
+    return one_of_each(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

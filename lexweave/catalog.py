@@ -22,4 +22,4 @@ def query(oracle: str | None = None):
     return add
 
 
-from lexweave.plans import entry_queries, graph_queries, lexicon_queries, predicate_queries, text_queries  # noqa: E402, F401
+from lexweave.plans import entry_queries, graph_queries, lexicon_queries, predicate_queries, repair_queries, report_queries, text_queries  # noqa: E402, F401

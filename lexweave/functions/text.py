@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WORD = r"[\p{L}\p{N}_'’]+"
+WORD = r"[_'’]*[\p{L}\p{N}][\p{L}\p{N}_'’]*"
 SENTENCE_END = r"[.!?…]+"
 VOWELS = "aeiouy"
 
@@ -35,7 +35,7 @@ def _list(words) -> str:
 
 def words_sql(text: str) -> str:
     """B1: runs of word characters and apostrophes that hold a letter or digit."""
-    return f"filter(regexp_extract_all(coalesce({text}, ''), {quoted(WORD)}, 0), w -> w rlike '[\\\\p{{L}}\\\\p{{N}}]')"
+    return f"regexp_extract_all(coalesce({text}, ''), {quoted(WORD)}, 0)"
 
 
 def word_count(text: str) -> Column:
@@ -53,16 +53,21 @@ def sentence_count(text: str) -> Column:
 
 
 def syllables_sql(word: str) -> str:
-    """Vowel runs less a silent final e, one at least; digits count one each in a word without letters."""
-    letters = f"regexp_replace(lower({word}), '[^\\\\p{{L}}]', '')"
-    runs = f"regexp_count({letters}, '[{VOWELS}]+')"
-    ends = lambda xs: "(" + "|".join(xs) + ")$"
-    silent = f"case when {letters} like '%es' then not {letters} rlike '{ends(SOUNDED_ES)}' when {letters} like '%ed' then not {letters} rlike '{ends(SOUNDED_ED)}' else {letters} like '%e' and not {letters} rlike '{ends(SOUNDED_E)}' end"
-    return f"case when {letters} = '' then length(regexp_replace({word}, '[^\\\\p{{Nd}}]', '')) else greatest(1, {runs} - case when {runs} > 1 and {silent} then 1 else 0 end) end"
+    """Vowel runs less a silent final e, one at least; digits count one each in a word without letters. Letters and runs are computed once a word."""
+    ends = lambda n, xs: f"right(l, {n}) in ({', '.join(map(quoted, xs))})"
+    three, two = [x for x in SOUNDED_ES if len(x) == 3], [x for x in SOUNDED_ES if len(x) == 4]
+    silent = f"case when right(l, 2) = 'es' then not ({ends(3, three)} or {ends(4, two)}) when right(l, 2) = 'ed' then not {ends(3, SOUNDED_ED)} else right(l, 1) = 'e' and not {ends(2, SOUNDED_E)} end"
+    heard = f"transform(array(regexp_count(l, '[{VOWELS}]+')), r -> greatest(1, r - case when r > 1 and {silent} then 1 else 0 end))[0]"
+    return f"transform(array(regexp_replace(lower({word}), '[^\\\\p{{L}}]', '')), l -> case when l = '' then length(regexp_replace({word}, '[^\\\\p{{Nd}}]', '')) else {heard} end)[0]"
+
+
+def syllables_of(words: str) -> Column:
+    """The syllables of an array of words."""
+    return F.expr(f"aggregate({words}, 0L, (n, w) -> n + {syllables_sql('w')})")
 
 
 def syllable_count(text: str) -> Column:
-    return F.expr(f"aggregate({words_sql(text)}, 0L, (n, w) -> n + {syllables_sql('w')})")
+    return syllables_of(words_sql(text))
 
 
 def fk_grade(words: Column, sentences: Column, syllables: Column) -> Column:
@@ -130,6 +135,11 @@ def ngrams_sql(words: str, n: int) -> str:
     return f"case when size({words}) >= {n} then array_distinct(transform(sequence(1, size({words}) - {n - 1}), i -> array_join(slice({words}, i, {n}), ' '))) else cast(array() as array<string>) end"
 
 
+def ngram_hashes_sql(words: str, n: int) -> str:
+    """64-bit hashes of the distinct runs of n words."""
+    return f"case when size({words}) >= {n} then array_distinct(transform(sequence(1, size({words}) - {n - 1}), i -> xxhash64(slice({words}, i, {n})))) else cast(array() as array<bigint>) end"
+
+
 def zipf(count: Column, total: Column) -> Column:
     """log10 of occurrences per billion, one added to the count."""
     return F.log10((count + 1) / total * 1e9)

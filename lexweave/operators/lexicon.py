@@ -28,10 +28,10 @@ def flat(entries: DataFrame) -> DataFrame:
 
 
 def inflections(words: DataFrame, word: str) -> DataFrame:
-    """Form, relation and lemma rows of headwords; distinct on (form, relation)."""
+    """Form, relation and lemma rows of headwords; distinct on (form, relation), the smallest lemma of each."""
     f = T.forms(word)
-    rows = words.select(F.col(word).alias("lemma"), F.explode(F.array(F.struct(F.col(word).alias("form"), F.lit("lemma").alias("relation")), *(F.struct(f[i].alias("form"), F.lit(r).alias("relation")) for i, r in enumerate(("plural", "past", "present_participle"))))).alias("x"))
-    return rows.select("lemma", "x.form", "x.relation").dropDuplicates(["form", "relation"])
+    rows = words.select(F.col(word).alias("lemma"), F.explode(F.array(F.struct(F.col(word).alias("form"), F.lit("lemma").alias("relation")), *(F.struct(F.get(f, F.lit(i)).alias("form"), F.lit(r).alias("relation")) for i, r in enumerate(("plural", "past", "present_participle"))))).alias("x"))
+    return rows.select("lemma", "x.form", "x.relation").where("form is not null").groupBy("form", "relation").agg(F.min("lemma").alias("lemma")).select("lemma", "form", "relation")
 
 
 def edge_id(source: str, kind: str, target: str) -> Column:

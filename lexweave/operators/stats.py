@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from lexweave.functions import text as T
 
 
+#: A set of keys up to this many may be broadcast.
+MOST_BROADCAST = 100_000
+
+
 def distribution(df: DataFrame, by: list[str], value: str, count: str, more: dict[str, Column] | None = None) -> DataFrame:
     """H8: mean and inclusive quantiles of a value, rounded to six places."""
     q = F.percentile(value, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
@@ -27,20 +31,29 @@ def duplicate_groups(df: DataFrame, key: str, order: str) -> DataFrame:
     return d.groupBy("d", "key").agg(F.count("*").alias("copies"), F.min(order).alias("first_doc")).where("copies > 1").drop("d")
 
 
-def over_threshold(words: DataFrame, keys: Column, name: str, bar: float, least: int) -> DataFrame:
-    """H5: document frequencies over rows; keys with `least` rows or more and a share above `bar`."""
+def over_threshold(words: DataFrame, keys: Column, name: str, bar: float, least: int, hashes: Column | None = None) -> DataFrame:
+    """H5: document frequencies over rows; keys with `least` rows or more and a share above `bar`.
+
+    With hashes (of each row's keys, in 64 bits) only they are counted first, and texts are made and
+    counted for rows that hold a frequent one alone.
+    """
     total = words.agg(F.count("*").alias("total"))
+    if hashes is not None:
+        often = words.select(F.explode(hashes).alias("h")).groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= least).join(F.broadcast(total)).where(F.col("n") / F.col("total") > bar).select("h")
+        few = F.broadcast(often.agg(F.collect_set("h").alias("often"))) if often.count() <= MOST_BROADCAST else None
+        if few is not None:  # the frequent ones, as a set of bounded size
+            words = words.join(few).where(F.arrays_overlap(hashes, F.col("often"))).drop("often")
     df = words.select(F.explode(keys).alias(name)).groupBy(name).agg(F.count("*").alias("sentences")).where(F.col("sentences") >= least)
     share = F.col("sentences") / F.col("total")
     return df.join(F.broadcast(total)).where(share > bar).select(name, "sentences", F.round(share, 8).alias("frequency"))  # the broadcast side is one row
 
 
 def offenders(words: DataFrame, keys: Column, name: str, over: DataFrame, doc: str) -> DataFrame:
-    """H6: documents that show a key of `over`, counted, the first three named."""
+    """H6: documents that show a key of `over`, counted, the first three named. Counts and the three come from partial sums and minima, so a key that every document shows is no hot task."""
     hits = words.select(doc, F.explode(keys).alias(name)).join(over.select(name), name).select(name, doc).distinct()
-    nth = F.row_number().over(Window.partitionBy(name).orderBy(doc))
-    ranked = hits.withColumn("nth", nth).groupBy(name).agg(F.count("*").alias("docs"), F.collect_list(F.when(F.col("nth") <= 3, F.struct("nth", F.col(doc).cast("string").alias("d")))).alias("x"))
-    return ranked.select(name, "docs", F.expr("array_join(transform(array_sort(x), y -> y.d), ',')").alias("examples"))
+    parts = hits.withColumn("part", F.pmod(F.xxhash64(doc), F.lit(64))).groupBy(name, "part").agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_list(doc)), 1, 3).alias("first"))
+    all_ = parts.groupBy(name).agg(F.sum("n").alias("docs"), F.slice(F.array_sort(F.flatten(F.collect_list("first"))), 1, 3).alias("x"))
+    return all_.select(name, "docs", F.expr("array_join(transform(x, y -> cast(y as string)), ',')").alias("examples"))
 
 
 def calibrate(words: DataFrame, keys: Column, doc: str, points: list[tuple[float, int]], docs: int) -> DataFrame:

@@ -167,3 +167,19 @@ def snapshot_diff(spark, sf_dir):
     e = edges(spark, sf_dir).where("type = 'synonym'")
     count = lambda x: x.groupBy("src", "dst").agg(F.count("*").alias("n"))
     return graph.snapshot_diff(count(e), count(graph.dedup(e, ["place", "ord"])), ["src", "dst"], "n")
+
+
+@query(f"""WITH RECURSIVE {EDGES_SQL}, e AS (SELECT DISTINCT src, dst FROM edges WHERE src <> dst),
+b(node, depth) AS (SELECT sense_key, 0 FROM (SELECT p_partkey AS sense_key FROM part WHERE p_partkey % 100 = 1) UNION SELECT e.dst, b.depth + 1 FROM b JOIN e ON e.src = b.node WHERE b.depth < 2) SELECT node, min(depth)::INT AS depth FROM b GROUP BY node""")
+def bfs_all_types(spark, sf_dir):
+    """Two steps along relations of every type from every hundredth part."""
+    seeds = senses(spark, sf_dir).where("sense_key % 100 = 1").select(F.col("sense_key").alias("node"))
+    return graph.bfs(edges(spark, sf_dir), seeds, 2)
+
+
+@query(f"""WITH {EDGES_SQL}, d AS (SELECT src, dst, type, count(*) AS n FROM edges GROUP BY ALL) SELECT src, dst, type, n AS before, 1::BIGINT AS after FROM d WHERE n <> 1""")
+def snapshot_diff_all(spark, sf_dir):
+    """What deduplication changes, over the edges of every type."""
+    count = lambda x: x.groupBy("src", "dst", "type").agg(F.count("*").alias("n"))
+    e = edges(spark, sf_dir)
+    return graph.snapshot_diff(count(e), count(graph.dedup(e, ["place", "ord"])), ["src", "dst", "type"], "n")

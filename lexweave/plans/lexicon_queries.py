@@ -43,7 +43,10 @@ def fanout_nested_senses(spark, sf_dir):
     return lexicon.flat(lexicon.nested(senses(spark, sf_dir)))
 
 
-@query()
+@query("""WITH w AS (SELECT DISTINCT unnest(string_split(lower(p_name), ' ')) AS w FROM part), c AS (SELECT w FROM w WHERE regexp_matches(w, '^[a-z]+$')),
+f AS (SELECT w, 'lemma' AS relation, w AS form FROM c UNION ALL SELECT w, 'plural', CASE WHEN regexp_matches(w, '[^aeiouy]y$') THEN left(w, length(w) - 1) || 'ies' WHEN regexp_matches(w, '(s|x|z|ch|sh)$') THEN w || 'es' ELSE w || 's' END FROM c
+UNION ALL SELECT w, 'past', CASE WHEN regexp_matches(w, '[^aeiouy]y$') THEN left(w, length(w) - 1) || 'ied' WHEN w LIKE '%e' AND NOT w LIKE '%ee' THEN w || 'd' WHEN length(w) >= 3 AND regexp_matches(w, '^[^aeiou]*[aeiou][^aeiouwxy]$') THEN w || right(w, 1) || 'ed' ELSE w || 'ed' END FROM c
+UNION ALL SELECT w, 'present_participle', CASE WHEN w LIKE '%e' AND NOT w LIKE '%ee' THEN left(w, length(w) - 1) || 'ing' WHEN length(w) >= 3 AND regexp_matches(w, '^[^aeiou]*[aeiou][^aeiouwxy]$') THEN w || right(w, 1) || 'ing' ELSE w || 'ing' END FROM c) SELECT min(w) AS lemma, form, relation FROM f GROUP BY form, relation""")
 def inflection_unpivot(spark, sf_dir):
     """D11 over the distinct words of part names."""
     words = table(spark, sf_dir, "part").select(F.explode(F.split(F.lower("p_name"), " ")).alias("w")).where("w rlike '^[a-z]+$'").distinct()
@@ -184,6 +187,14 @@ def _graded(spark, sf_dir):
     return best.withColumn("n", nth).where("n <= 3").select(F.col("src").alias("query_id"), F.col("dst").alias("candidate"), "grade")
 
 
+@query(f"""WITH {EDGES_SQL}, syn AS (SELECT DISTINCT src, dst FROM (SELECT src, dst FROM edges WHERE type = 'synonym' AND src <> dst UNION ALL SELECT dst, src FROM edges WHERE type = 'synonym' AND src <> dst)), hyp AS (SELECT DISTINCT src, dst FROM edges WHERE type = 'hypernym' AND src <> dst),
+b AS (SELECT src, dst, max(grade) AS grade FROM (SELECT src, dst, 2 AS grade FROM syn UNION ALL SELECT src, dst, 1 FROM hyp) GROUP BY src, dst), r AS (SELECT *, row_number() OVER (PARTITION BY src, grade ORDER BY md5('5:' || dst), dst) AS n FROM b)
+SELECT src AS query_id, string_agg(dst || '=' || grade, ',' ORDER BY grade DESC, dst) AS candidates, count(*)::INT AS n_candidates FROM r WHERE n <= 3 GROUP BY src""")
+def listwise_joined(spark, sf_dir):
+    """The lists of listwise, made scalar."""
+    return listwise(spark, sf_dir).select("query_id", F.expr("array_join(transform(candidates, c -> concat(c.id, '=', c.grade)), ',')").alias("candidates"), "n_candidates")
+
+
 @query()
 def listwise(spark, sf_dir):
     """One row per query with its graded candidates, best first."""

@@ -345,3 +345,20 @@ def frontier_membership(spark, sf_dir):
     nth = F.row_number().over(Window.partitionBy("source", "slug", F.col("shape").isNull()).orderBy("ord", "k", "raw"))
     m = c.withColumn("nth", nth).join(known, "slug", "left")
     return m.groupBy(F.coalesce("shape", F.when(F.col("nth") > 1, "duplicate").when(F.col("stored"), "already_stored").otherwise(F.lit("accepted"))).alias("reason")).agg(F.count("*").alias("candidates"))
+
+
+@query(f"""WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z]+')) AS word FROM documents), c AS (SELECT word, unnest({lemma_sql('word')}) AS lemma FROM w) SELECT DISTINCT word, lemma FROM c WHERE lemma <> word AND lemma IN (SELECT word FROM w)""")
+def lemma_fold_all(spark, sf_dir):
+    """Words of all languages and those of their base forms that are words of the corpus too."""
+    w = table(spark, sf_dir, "documents").select(F.explode(F.expr("regexp_extract_all(lower(coalesce(text, '')), '[a-z]+', 0)")).alias("word")).distinct()
+    cand = w.select("word", F.explode(T.lemma_candidates("word")).alias("lemma")).where("lemma != word")
+    return cand.join(w.select(F.col("word").alias("lemma")), "lemma", "left_semi").select("word", "lemma")
+
+
+@query(r"""WITH t AS (SELECT unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}]+')) AS w FROM documents), c AS (SELECT w, count(*) AS n FROM t GROUP BY w) SELECT w AS word, n AS uses, round(log10((n + 1) / (SELECT count(*) FROM t) * 1e9), 6) AS zipf FROM c""".replace("\\\\", "\\"))
+def word_zipf_all(spark, sf_dir):
+    """Zipf frequencies of every word of every language."""
+    w = table(spark, sf_dir, "documents").select(F.explode(F.expr("regexp_extract_all(lower(coalesce(text, '')), '[\\\\p{L}]+', 0)")).alias("word"))
+    c = w.groupBy("word").agg(F.count("*").alias("uses"))
+    total = c.agg(F.sum("uses").alias("total"))
+    return c.join(F.broadcast(total)).select("word", "uses", F.round(T.zipf(F.col("uses"), F.col("total")), 6).alias("zipf"))  # one row

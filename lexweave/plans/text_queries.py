@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexweave.catalog import query
 from lexweave.functions import text as T
 from lexweave.operators import minhash, stats
-from lexweave.plans.views import table
+from lexweave.plans.views import table, texts
 
 WORDS = r"list_filter(regexp_extract_all(coalesce({0}, ''), '[\p{{L}}\p{{N}}_''’]+'), lambda w: regexp_matches(w, '[\p{{L}}\p{{N}}]'))"
 HAS_WORD = r"regexp_matches({0}, '[\p{{L}}\p{{N}}]')"
@@ -30,8 +30,8 @@ FOLDED = r"trim(regexp_replace(replace(lower(coalesce({0}, '')), 'ß', 'ss'), '[
 
 
 def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
-    m = docs.withColumns({"words": T.word_count("text"), "sentences": T.sentence_count("text"), "syllables": T.syllable_count("text")})
+    docs = texts(spark, sf_dir, "documents", "doc_id", "lang", "source", "text").select("doc_id", "lang", "source", F.expr(T.words_sql("text")).alias("w"), T.sentence_count("text").alias("sentences"))
+    m = docs.select("doc_id", "lang", "source", F.size("w").cast("long").alias("words"), "sentences", T.syllables_of("w").alias("syllables"))
     return m.withColumn("grade", T.fk_grade(F.col("words"), F.col("sentences"), F.col("syllables")))
 
 
@@ -114,14 +114,14 @@ n AS (SELECT doc_id, unnest(list_distinct(list_transform(range(1, len(w) - 2), l
 
 
 def sentence_words(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.explode(F.expr(T.sentences_sql("lower(text)"))).alias("s"))
+    docs = texts(spark, sf_dir, "documents", "doc_id", "source", "text").select("doc_id", "source", F.explode(F.expr(T.sentences_sql("lower(text)"))).alias("s"))
     return docs.select("doc_id", "source", F.expr(T.words_sql("s")).alias("w")).where("size(w) > 0")
 
 
 @query(f"WITH {_NGRAMS} SELECT g AS ngram, count(*) AS sentences, round(count(*) / (SELECT count(*) FROM t), 8) AS frequency FROM n GROUP BY g HAVING count(*) >= 5 AND count(*) / (SELECT count(*) FROM t) > 0.00025")
 def ngram_df_filler(spark, sf_dir):
     """H5: 4-grams in five sentences or more and over the frequency bar."""
-    return stats.over_threshold(sentence_words(spark, sf_dir), F.expr(T.ngrams_sql("w", 4)), "ngram", 0.00025, 5)
+    return stats.over_threshold(sentence_words(spark, sf_dir), F.expr(T.ngrams_sql("w", 4)), "ngram", 0.00025, 5, F.expr(T.ngram_hashes_sql("w", 4)))
 
 
 @query(f"""WITH {_NGRAMS}, o AS (SELECT array_to_string(w[1:3], ' ') AS g FROM t WHERE len(w) >= 3)
@@ -136,7 +136,7 @@ SELECT g AS ngram, count(DISTINCT doc_id) AS docs, array_to_string(list_sort(lis
 def filler_offenders(spark, sf_dir):
     """H6: documents that hold a filler 4-gram, three examples each."""
     words = sentence_words(spark, sf_dir)
-    keys = stats.over_threshold(words, F.expr(T.ngrams_sql("w", 4)), "ngram", 0.00025, 5)
+    keys = stats.over_threshold(words, F.expr(T.ngrams_sql("w", 4)), "ngram", 0.00025, 5, F.expr(T.ngram_hashes_sql("w", 4)))
     return stats.offenders(words, F.expr(T.ngrams_sql("w", 4)), "ngram", keys, "doc_id")
 
 
@@ -273,7 +273,12 @@ def word_plurals(spark, sf_dir):
     return w.where(F.length("word").between(3, 6)).distinct().select("word", T.forms("word")[0].alias("plural"))
 
 
-@query()
+_EN = "t AS (SELECT DISTINCT unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z]+')) AS w FROM documents WHERE lang = 'en')"
+
+
+@query(r"""WITH {en}, r AS (SELECT w, regexp_matches(w, '[^aeiouy]y$') AS y, w LIKE '%e' AND NOT w LIKE '%ee' AS e, regexp_matches(w, '^[^aeiou]*[aeiou][^aeiouwxy]$') AND length(w) >= 3 AS c, left(w, length(w) - 1) AS cut, right(w, 1) AS z FROM t),
+f AS (SELECT w, CASE WHEN y THEN cut || 'ies' WHEN regexp_matches(w, '(s|x|z|ch|sh)$') THEN w || 'es' ELSE w || 's' END AS p, CASE WHEN y THEN cut || 'ied' WHEN e THEN w || 'd' WHEN c THEN w || z || 'ed' ELSE w || 'ed' END AS d, CASE WHEN e THEN cut || 'ing' WHEN c THEN w || z || 'ing' ELSE w || 'ing' END AS g FROM r)
+SELECT w AS word, unnest([0, 1, 2])::INT AS place, unnest([p, d, g]) AS form FROM f""".replace("{en}", _EN))
 def word_forms(spark, sf_dir):
     """Every generated form of English words of any length."""
     w = table(spark, sf_dir, "documents").where("lang = 'en'").select(F.explode(F.expr("regexp_extract_all(lower(coalesce(text, '')), '[a-z]+', 0)")).alias("word"))

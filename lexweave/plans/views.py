@@ -12,6 +12,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table whose texts are worked on at length: a table of few files is dealt to all cores first; at scale files are many and nothing moves."""
+    df = table(spark, sf_dir, name).select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def senses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A part name is a headword, its parts are senses in order of key; parts of size 48 and more are retired."""
     part = table(spark, sf_dir, "part")
