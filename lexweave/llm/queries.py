@@ -112,7 +112,8 @@ ORACLES["op4_secrets"] = _op4_oracle()
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
-    captures = write_table(warc.assemble(warc.read_records(spark, path)), "warc-captures")
+    records = write_table(warc.read_records(spark, path), "warc-records")
+    captures = write_table(warc.assemble(records), "warc-captures")
     out = warc.resolved(captures)
     return out.select("metadata.page_id", "response.payload_bytes", "response.payload_digest", "record_type", F.col("original.page_id").alias("refers_to"))
 
