@@ -281,8 +281,8 @@ def hard_words(docs: DataFrame, key: str, text: str, familiar: DataFrame, ignore
     cand = rows.select("token").distinct().select("token", T.lemma_candidates("token").alias("candidates"))
     listed = cand.select("token", F.explode("candidates").alias("word")).join(familiar.select("word").distinct(), "word", "left_semi").select("token").distinct().withColumn("easy", F.lit(True))
     own = familiar.select(F.col("word").alias("token")).distinct().withColumn("own", F.lit(True))
-    met = rows.join(cand, "token").join(listed, "token", "left").join(own, "token", "left")
-    met = met.where("(length(token) >= 2 or own) and size(candidates) > 0 and not arrays_overlap(candidates, excused)")
+    met = rows.join(cand, "token").join(listed, "token", "left").join(own, "token", "left").withColumn("easy", F.coalesce("easy", "own"))
+    met = met.where("(length(token) >= 2 and size(candidates) > 0 or own) and not arrays_overlap(array_append(candidates, token), excused)")
     per = met.groupBy("doc_key").agg(F.count("*").alias("considered"), F.count_if("easy").alias("n_easy"), F.array_sort(F.collect_list(F.when(F.col("easy").isNull(), F.struct("pos", "token")))).alias("h"))
     out = docs.select(F.col(key)).join(per, F.col(key) == F.col("doc_key"), "left")
     return out.select(key, F.coalesce("considered", F.lit(0).cast("long")).alias("considered"), F.expr("coalesce(array_distinct(transform(h, x -> x.token)), cast(array() as array<string>))").alias("hard"), F.expr("coalesce((considered - n_easy) / considered, 0D)").alias("share"))
