@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import itertools
 import re
 import shutil
 import tempfile
@@ -16,8 +15,6 @@ from pyspark.sql import functions as F
 
 #: Ids up to this many (some 16 bytes each) may be broadcast; beyond it the join shuffles.
 BROADCAST_IDS = 500_000
-CLEAN_EVERY = 5
-_writes = itertools.count(1)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -45,16 +42,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage: writes df as Parquet in the shared folder and reads it back.
-
-    Every CLEAN_EVERY tables the driver's collector runs, so that what ended plans leave behind
-    (generated classes, broadcasts, shuffle files) goes at once instead of when the heap is full.
-    """
+    """Cuts the lineage: writes df as Parquet in the shared folder and reads it back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    if next(_writes) % CLEAN_EVERY == 0:
-        spark._jvm.java.lang.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out
@@ -81,7 +72,7 @@ def hidden(df: DataFrame, *names: str) -> tuple[DataFrame, list]:
 class WordHash(dict):
     """64-bit hash of a word, remembered for up to `most` words."""
 
-    most = 400_000
+    most = 250_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:

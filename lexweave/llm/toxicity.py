@@ -108,8 +108,8 @@ class Model:
         (self.weight, self.bias), self.known = state, {}
 
     def values(self, words: list[str]) -> np.ndarray:
-        """Each word's share of the logit, remembered for up to 300,000 words."""
-        if len(self.known) > 300_000:
+        """Each word's share of the logit, remembered for up to 150,000 words."""
+        if len(self.known) > 150_000:
             self.known.clear()
         new = list(set(words).difference(self.known))
         for at in range(0, len(new), 20_000):
