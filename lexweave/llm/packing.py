@@ -26,8 +26,8 @@ from .common import drop_table, write_table
 
 PART = 2048
 GAIN = 0.001
-CACHE = 250_000
-WORDS = 150_000
+CACHE = 400_000
+WORDS = 400_000
 #: Characters for which lower-casing, NFC and the split into words work character by character, the same here and in the tokenizer.
 _PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7e\\xa1-\\xac\\xae-\\u012f\\u0131-\\u0148\\u014a-\\u017f\\u2010-\\u2027\\u2030-\\u205e]*")
 _ASCII = bytes([9, 10, 13, *range(32, 127)])
