@@ -35,6 +35,15 @@ _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 _tokenizers: dict[str, tuple] = {}
 
 
+def _words(run: str) -> list[str]:
+    """The tokenizer's words of a run without blanks; letters alone, or before one stop, need no pattern."""
+    if run.isalpha():
+        return [run]
+    if run[-1] in ".,;:!?" and run[:-1].isalpha():
+        return [run[:-1], run[-1]]
+    return _WORD.findall(run)
+
+
 def _plain(text: str) -> bool:
     return not text.encode().translate(None, _ASCII) if text.isascii() else _PLAIN.fullmatch(text) is not None
 
@@ -47,7 +56,7 @@ class WordEncoder:
 
     def learn(self, runs: list[str]) -> None:
         """Runs of characters without blanks: their words' ids, joined."""
-        split = [_WORD.findall(r) for r in runs]
+        split = list(map(_words, runs))
         new = list(set().union(*split).difference(self.words))
         for at in range(0, len(new), 1000):  # words parted by spaces are split as they were
             part = new[at : at + 1000]
