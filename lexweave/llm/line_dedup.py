@@ -122,7 +122,7 @@ def _texts(ids: DataFrame, firsts: DataFrame, documents: DataFrame, seed: int) -
     """id, line and MARKS of the lines named by ids."""
     where = write_table(firsts.join(ids, "id").select("id", "first.doc_id", "first.line_no"), "lines-where")
     wanted = write_table(where.groupBy("doc_id").agg(F.collect_list("line_no").alias("want")), "lines-want")
-    lines = with_ids(_rows(documents).select("doc_id", "text"), wanted, "doc_id").select(F.explode(F.expr("transform(array(split(text, '\n')), ls -> transform(want, i -> get(ls, i)))[0]")).alias("line")).where("line is not null")
+    lines = with_ids(_rows(documents).select("doc_id", "text"), wanted, "doc_id", BROADCAST_IDS).select(F.explode(F.expr("transform(array(split(text, '\n')), ls -> transform(want, i -> get(ls, i)))[0]")).alias("line")).where("line is not null")
     found = lines.select(_line_id("line", seed).alias("id"), "line").join(where.select("id"), "id", "left_semi").dropDuplicates(["id"])
     out = write_table(found.select("id", "line", F.length("line").alias("n"), *_marks("line")), "lines-texts")
     drop_table(where)

@@ -44,6 +44,22 @@ def test_components(spark):
     assert components(edges.limit(0)).isEmpty()
 
 
+def test_wide_join_with_many_ids(spark, monkeypatch):
+    """Every row of the ids and no other, and what goes through the driver is a bitmap, not the ids."""
+    from lexweave.llm import common
+
+    sent, real = [], F.broadcast
+    monkeypatch.setattr(F, "broadcast", lambda df: sent.append(df.count()) or real(df))
+    ids = spark.range(150_000).select((F.col("id") * 3).alias("doc_id"), F.xxhash64("id").alias("want_hash")).localCheckpoint()
+    rows = spark.range(-50, 500_000, 7).select(F.when(F.col("id") >= 0, F.col("id")).alias("doc_id"), F.lit("text").alias("text"))
+    got = common.with_ids(rows, ids, "doc_id")
+    assert got.columns == ["doc_id", "text", "want_hash"]
+    assert sorted(r.doc_id for r in got.select("doc_id").collect()) == [x for x in range(-50, 500_000, 7) if x % 3 == 0 and 0 <= x < 450_000]
+    assert max(sent) < 2_500
+    let = common._let_through(rows, ids, "doc_id", 1 << 21).count()
+    assert got.count() <= let < 0.45 * rows.count()
+
+
 def test_topk(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.normal(size=4).round(1)]) for i in range(300)]
