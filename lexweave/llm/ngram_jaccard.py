@@ -17,11 +17,11 @@ cap the pair's overlap, and pairs that the cap rules out are never generated.
 
 Shingles whose lists are still long then (over LIST classes) are not joined as they are. The classes
 on such lists get new prefixes from their whole sets, in the exact order of how many of these
-classes of other components hold each shingle; what no other component holds isn't in the prefix and
-caps the class's overlap with any of them, and so the sizes of the classes that it can be linked
-with. A class meets classes of these sizes alone, and of those only the ones that its parity bitmap,
-folded to MARKS words, doesn't rule out. Shingles that the sketch shows to be very frequent
-are dealt to SALTS tasks throughout.
+classes of other components hold each shingle; what no other component holds isn't in the prefix. The
+first common shingle of a pair and what follows it in either set cap the overlap, and so the sizes of
+the classes that a class can be linked with by that shingle. A class meets classes of these sizes
+alone, and of those only the ones that its parity bitmap, folded to MARKS words, doesn't rule out.
+Shingles that the sketch shows to be very frequent are dealt to SALTS tasks throughout.
 """
 
 from __future__ import annotations
@@ -285,21 +285,26 @@ def _across(hot: DataFrame, classes: DataFrame, docs: DataFrame, counts) -> Data
     shared = shared.withColumn("cap", F.count("*").over(by_class)).withColumn("place", F.row_number().over(by_class.orderBy("df", "token")))
     need = F.ceil(F.col("n") * NUM / DEN)
     first = shared.where(F.col("place") <= F.col("cap") - need + 1)
-    bucket = lambda n: f"cast(floor(ln({n}) / {math.log(SIZE_STEP)!r}) as int)"
-    most = F.expr(f"floor(cap * {NUM + DEN} / {NUM}) - n")  # the largest set that the class can be linked with
+    # the largest set that the class can be linked with if this is the first shingle in order that both hold, as then only it and what follows can be shared
+    most = F.expr(f"floor((cap - place + 1) * {NUM + DEN} / {NUM}) - n")
     word = lambda k: f"cast(conv(hex(substring(parity, {8 * k + 1}, 8)), 16, -10) as long)"
     marks = classes.join(hot.select("cls"), "cls").select("cls", *(F.expr(" ^ ".join(word(k) for k in range(m, BITS // 64, MARKS))).alias(f"m{m}") for m in range(MARKS)))
-    first = first.withColumn("most", most).select("token", "salt", "cls", "label", "n", "cap", "most").join(marks, "cls")
+    first = first.withColumn("most", most).select("token", "salt", "cls", "label", "n", "most").join(marks, "cls")
     first = write_table(first, "jaccard-first")
+    out = write_table(_meets(first).select(F.expr("least(x.cls, y.cls)").alias("a"), F.expr("greatest(x.cls, y.cls)").alias("b")).distinct(), "jaccard-across")
+    drop_table(full)
+    drop_table(first)
+    return out
+
+
+def _meets(first: DataFrame) -> DataFrame:
+    """Rows x and y of prefixes that meet: of one shingle, and of classes of different components that it can be the first common shingle of. A pair that can be linked meets at its first common shingle, and at few others."""
+    bucket = lambda n: f"cast(floor(ln({n}) / {math.log(SIZE_STEP)!r}) as int)"
     differ = " + ".join(f"bit_count(x.m{m} ^ y.m{m})" for m in range(MARKS))
     least = f"greatest(1, floor(n * {NUM} / {DEN}))"
     x = first.where(f"most >= {least}").withColumn("salt", F.expr(f"salt % {SPREAD}")).withColumn("bucket", F.explode(F.expr(f"sequence({bucket(least)}, greatest({bucket(least)}, {bucket(f'least(most, ceil(n * {DEN} / {NUM}))')}))"))).alias("x")
     y = first.withColumn("salt", F.explode(F.expr(f"case when salt > 0 then sequence(0, {SPREAD - 1}) else array(0) end"))).withColumn("bucket", F.expr(bucket("n"))).alias("y")
-    met = x.join(y, F.expr(f"x.token = y.token and x.salt = y.salt and x.bucket = y.bucket and x.label != y.label and (x.most < y.most or x.most = y.most and x.cls < y.cls) and y.n <= x.most and x.n <= y.most and ({NUM} + {DEN}) * least(x.cap, y.cap) >= {NUM} * (x.n + y.n) and {differ} <= x.n + y.n - 2 * ceil({NUM} * (x.n + y.n) / {NUM + DEN})"))
-    out = write_table(met.select(F.expr("least(x.cls, y.cls)").alias("a"), F.expr("greatest(x.cls, y.cls)").alias("b")).distinct(), "jaccard-across")
-    drop_table(full)
-    drop_table(first)
-    return out
+    return x.join(y, F.expr(f"x.token = y.token and x.salt = y.salt and x.bucket = y.bucket and x.label != y.label and (x.most < y.most or x.most = y.most and x.cls < y.cls) and y.n <= x.most and x.n <= y.most and {differ} <= x.n + y.n - 2 * ceil({NUM} * (x.n + y.n) / {NUM + DEN})"))
 
 
 def jaccard_components(documents: DataFrame) -> DataFrame:

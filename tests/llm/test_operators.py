@@ -153,6 +153,37 @@ def test_jaccard_of_large_groups(spark, monkeypatch, limits):
     assert got == dict(zip([d for d, _ in rows], classes_by_brute_force(rows)))
 
 
+def test_jaccard_pairs_of_long_lists_meet_once(spark, monkeypatch):
+    """Of near copies that share many shingles of their prefixes, a pair is made where its first common shingle may be, not at each."""
+    from lexweave.llm import ngram_jaccard
+
+    rng = random.Random(17)
+    base = [f"b{k}" for k in range(150)]
+    rows = []
+    for i in range(160):
+        t = list(base)
+        k = rng.randrange(5, 140)
+        t[k], t[k + 4] = f"y{i}", f"z{i}"  # 9 shingles: two texts have 128 in common, 130 would link them
+        rows.append((i, " ".join(t)))
+    real, made = ngram_jaccard.write_table, []
+
+    def counted(df, name):
+        if name == "jaccard-across":
+            plan = df._jdf.queryExecution().optimizedPlan()
+            while "Join" not in plan.nodeName():
+                plan = plan.children().head()
+            joined = df.sparkSession._jvm.org.apache.spark.sql.classic.Dataset.ofRows(df.sparkSession._jsparkSession, plan)
+            made.append((joined.count(), df.count()))
+        return real(df, name)
+
+    monkeypatch.setattr(ngram_jaccard, "write_table", counted)
+    got = {r.doc_id: r.component_id for r in jaccard_components(documents(spark, rows)).collect()}
+    assert got == dict(zip([d for d, _ in rows], classes_by_brute_force(rows)))
+    (joined, pairs), = made
+    assert pairs > 1000
+    assert joined <= 9 * pairs  # 18 with the cap of the whole set alone
+
+
 def test_jaccard_of_one_id_with_several_texts(spark):
     """Rows of one id are documents of their own, whatever their texts."""
     rng = random.Random(16)
