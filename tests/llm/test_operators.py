@@ -12,9 +12,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexweave.llm import byte_bpe, line_dedup, media, packing, secrets, toxicity, warc
+from lexweave.llm import passages as passages_module
 from lexweave.llm.common import components
 from lexweave.llm.ngram_jaccard import jaccard_components
-from lexweave.llm.passages import _extended, _overlap, compact_windows, shared_passages
+from lexweave.llm.passages import _extended, _overlap, compact_windows, shared_passages, tokens_of
 from lexweave.llm.topk import top_k
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, found string, score string"
@@ -410,6 +411,28 @@ def test_passages_with_shifts(spark):
         assert {(1, 40, 80), (2, 15, 81), (3, 5, 79)} <= {tuple(r)[:3] for r in shared_passages(documents(spark, texts)).collect()}
 
 
+def test_passages_test_few_pairs(spark, monkeypatch):
+    """Texts that share a line of 20 words amid others are not tested on their texts, those that share a passage with edits are."""
+    rng, tested = random.Random(31), []
+    real = passages_module._tested
+    monkeypatch.setattr(passages_module, "_tested", lambda meets, *rest: tested.append({(r.a, r.b) for r in meets.select("a", "b").collect()}) or real(meets, *rest))
+    line, passage = words(rng, 20), words(rng, 60).split()
+    texts = [(i, f"{words(rng, 60)} {line} {words(rng, 60)}") for i in range(12)]
+    texts += [(100, f"{words(rng, 30)} {' '.join(passage)}"), (101, " ".join([*passage[:29], "edited", *passage[30:]]) + f" {words(rng, 30)}")]
+    assert {r.doc_id for r in shared_passages(documents(spark, texts)).collect()} == {100, 101}
+    assert len(set().union(*tested)) == 1
+
+
+def test_tokens_of(monkeypatch):
+    """Equal words have equal tokens wherever they stand and in whatever piece; case of A-Z and kind of white space don't count."""
+    text = "  Ab\tba \x0b ab\nÄb äb \x1c ba ab " + "x" * 90 + " ab ba ab Äb ba"
+    whole = tokens_of(text)
+    assert len(whole) == len(text.encode().lower().split()) - 4 and len(tokens_of(" \n")) == len(tokens_of(None)) == 0
+    assert (tokens_of(text.replace(" ", "\r\n ").replace("b", "B")) == whole).all() and len(set(whole.tolist())) == len(whole)
+    monkeypatch.setattr(passages_module, "PIECE", 8)
+    assert (tokens_of(text) == whole).all()
+
+
 def test_passages_recall(spark):
     """100 pairs of 50 words with the middle one edited (41 of 51 shingles): four hash functions miss 0.16 % of such pairs, three with two meetings some 10 %."""
     rng = random.Random(23)
