@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, WordHash, drop_table, hidden, merged, shingles, with_ids, words_of, write_table
+from .common import BROADCAST_IDS, WordHash, drop_table, hidden, merged, shingles, trim, with_ids, words_of, write_table
 
 SLOTS = 1 << 20  # of the count sketch
 BLOCKS = 16  # it travels in pieces of SLOTS / BLOCKS counts
@@ -77,6 +77,7 @@ def _signatures(batches):
     """A row per document, and at the end the partition's part of the count sketch."""
     from pyspark import TaskContext
 
+    trim()
     cache, seen, counts, waiting, held = WordHash(), set(), np.zeros(SLOTS, np.int64), [], 0
     types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
     schema = pa.schema(list(zip((f.split()[0] for f in _SIG.split(", ")), types)))
@@ -156,6 +157,7 @@ def _salt(slots: np.ndarray, count: np.ndarray, usual: float, cls: int) -> np.nd
 
 def _postings(counts, at: int):
     def run(batches):
+        trim()
         cache, seen, count = WordHash(), set(), counts.value
         usual = float(np.median(count))
         for batch in batches:

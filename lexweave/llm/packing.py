@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_table, write_table
+from .common import KEPT, drop_table, trim, write_table
 
 PART = 2048
 GAIN = 0.001
@@ -32,7 +32,7 @@ WORDS = 400_000
 _PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7e\\xa1-\\xac\\xae-\\u012f\\u0131-\\u0148\\u014a-\\u017f\\u2010-\\u2027\\u2030-\\u205e]*")
 _ASCII = bytes([9, 10, 13, *range(32, 127)])
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-_tokenizers: dict[str, tuple] = {}
+_tokenizers: dict[str, tuple] = KEPT.setdefault("tokenizers", {})
 
 
 def _words(run: str) -> list[str]:
@@ -105,6 +105,7 @@ def pieces(documents: DataFrame, tokenizer_path: str, capacity: int = 2048, end_
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
+        trim()
         enc = encoder(spec.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):

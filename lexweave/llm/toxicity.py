@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import release, trim
+
 BUCKETS = 1 << 17
 DIM = 8
 BAG = 3
@@ -25,6 +27,8 @@ DECAY = 1e-6
 SHARP = 3.0
 MIN_DOCS = 5  # n-gram buckets of fewer training documents stay zero
 ROWS = 256  # texts scored at once
+NAMES = 4000  # words whose n-grams are made at once in training
+AT_ONCE = 1 << 17  # n-grams, or bags, that a step of training holds values of at once, if a word or text has no more
 
 
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -127,21 +131,39 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
 
 
+def _parts(counts: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(i, j, at, to): owners i to j together hold the values at to `to`, AT_ONCE or so; counts[i] >= 1 values belong to i."""
+    ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+    cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, ends[-1], AT_ONCE)), len(counts)))
+    return [(int(i), int(j), int(ends[i]), int(ends[j])) for i, j in zip(cuts, cuts[1:])]
+
+
 def loss_and_gradient(params: list[np.ndarray], data: dict) -> tuple[float, list[np.ndarray]]:
     """Weighted cross entropy (and decay of the embeddings) and its gradient by embeddings, softmax and bias."""
     emb, soft, bias = params
     ids, counts, tokens, first, end, per_doc, y, share, live = (data[k] for k in ("ids", "counts", "tokens", "first", "end", "per_doc", "y", "share", "live"))
     way = soft[:, 1] - soft[:, 0]
-    logit, part = _pool(_bag_means(_means((emb @ way)[ids], counts)[tokens], first, end), per_doc)
-    logit = np.clip(logit + bias[1] - bias[0], -500, 500)
-    err = (1 / (1 + np.exp(-logit)) - y) * share
-    loss = float((share * (np.logaddexp(0, logit) - y * logit)).sum() + DECAY / 2 * (emb * emb).sum())
-    each = np.repeat(err, per_doc) * part / (end - first)
-    spread = np.cumsum(np.bincount(first, each, len(tokens) + 1) - np.bincount(end, each, len(tokens) + 1))[:-1]
-    to_word = np.bincount(tokens, spread, len(counts))
-    to_gram = np.bincount(ids, np.repeat(to_word / counts, counts), len(emb)) * live
+    weight, words = emb @ way, _parts(counts)
+    value = np.concatenate([_means(weight[ids[at:to]], counts[i:j]) for i, j, at, to in words])
+    to_word, loss, off = np.zeros(len(counts)), 0.0, 0.0
+    for i, j, at, to in _parts(per_doc):
+        begin = int(first[at])
+        mine, lo, hi = tokens[begin : int(end[to - 1])], first[at:to] - begin, end[at:to] - begin
+        logit, part = _pool(_bag_means(value[mine], lo, hi), per_doc[i:j])
+        logit = np.clip(logit + bias[1] - bias[0], -500, 500)
+        err = (1 / (1 + np.exp(-logit)) - y[i:j]) * share[i:j]
+        loss += float((share[i:j] * (np.logaddexp(0, logit) - y[i:j] * logit)).sum())
+        off += err.sum()
+        each = np.repeat(err, per_doc[i:j]) * part / (hi - lo)
+        spread = np.cumsum(np.bincount(lo, each, len(mine) + 1) - np.bincount(hi, each, len(mine) + 1))[:-1]
+        to_word += np.bincount(mine, spread, len(counts))
+    loss += float(DECAY / 2 * (emb * emb).sum())
+    to_gram = np.zeros(len(emb))
+    for i, j, at, to in words:
+        to_gram += np.bincount(ids[at:to], np.repeat(to_word[i:j] / counts[i:j], counts[i:j]), len(emb))
+    to_gram *= live
     to_way = emb.T @ to_gram
-    return loss, [to_gram[:, None] * way + DECAY * emb, np.stack([-to_way, to_way], 1), np.array([-err.sum(), err.sum()])]
+    return loss, [to_gram[:, None] * way + DECAY * emb, np.stack([-to_way, to_way], 1), np.array([-off, off])]
 
 
 def train(texts: list[str | None], labels: list[int], seed: int = 7) -> Model:
@@ -157,8 +179,8 @@ def train(texts: list[str | None], labels: list[int], seed: int = 7) -> Model:
         p = (sum(labels) + 0.5) / (len(labels) + 2)
         return Model(np.zeros(BUCKETS), float(np.log(p / (1 - p))))
     names = list(index)
-    made = [grams(names[at : at + 20_000]) for at in range(0, len(names), 20_000)]
-    ids, counts = (np.concatenate([m[i] for m in made]).astype(np.int32) for i in (0, 1))
+    made = [[x.astype(np.int32) for x in grams(names[at : at + NAMES])] for at in range(0, len(names), NAMES)]
+    ids, counts = (np.concatenate([m[i] for m in made]) for i in (0, 1))
     del made, names
     ends = np.concatenate([[0], np.cumsum(counts)])
     seen = np.zeros(BUCKETS, np.int64)  # documents that hold each bucket
@@ -167,6 +189,7 @@ def train(texts: list[str | None], labels: list[int], seed: int = 7) -> Model:
         seen[np.unique(ids[_runs(ends[mine], counts[mine])])] += 1
     live = seen >= MIN_DOCS
     first, end, per_doc = bags(np.array([len(d) for d in parts]))
+    first, end = (x.astype(np.int32) for x in (first, end))
     share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     data = {"ids": ids, "counts": counts, "tokens": np.concatenate(parts), "first": first, "end": end, "per_doc": per_doc, "y": y, "share": share, "live": live}
     del parts
@@ -194,6 +217,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(pick[0].union(pick[1])), "doc_id")
 
     def learn(batches):
+        release()
         rows = {}
         for b in batches:
             for i, text, label in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))):
@@ -201,6 +225,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
                     rows[i] = (text, label)
         rows = [rows.pop(k) for k in sorted(rows)]
         m = train([t for t, _ in rows], [y for _, y in rows])
+        trim()
         yield pa.RecordBatch.from_pydict({"weight": pa.array([m.weight.astype(np.float32).tobytes()], pa.binary()), "bias": [m.bias]})
 
     made = texts.repartition(1).mapInArrow(learn, "weight binary, bias double").first()  # one task, at most 2 PER_CLASS rows
@@ -221,6 +246,7 @@ def toxicity_scores(documents: DataFrame, model: Model) -> DataFrame:
     schema = docs.select("*", F.lit(0.0).alias("score")).schema
 
     def run(batches):
+        release()
         m = shared.value
         for b in batches:
             for at in range(0, b.num_rows, ROWS):

@@ -11,7 +11,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from lexweave.llm import byte_bpe, line_dedup, media, packing, secrets, toxicity, warc
+from lexweave.llm import byte_bpe, common, line_dedup, media, packing, secrets, toxicity, warc
 from lexweave.llm import passages as passages_module
 from lexweave.llm.common import components
 from lexweave.llm.ngram_jaccard import jaccard_components
@@ -575,6 +575,36 @@ def test_toxicity_gradient(monkeypatch):
             assert g[at] == pytest.approx((sides[0] - sides[1]) / (2 * step), rel=1e-4, abs=1e-8)
 
 
+def test_toxicity_training_in_parts(monkeypatch):
+    """A step of training holds a bounded part of the values at once, whatever the number of texts, and its loss and gradient stay the same."""
+    import tracemalloc
+
+    rng = random.Random(47)
+    texts = [words(rng, 700) + (" badword" if k % 2 else "") for k in range(400)]
+    steps, peak, real = [], [], toxicity.loss_and_gradient
+    monkeypatch.setattr(toxicity, "loss_and_gradient", lambda *a: steps.append(a) or real(*a))
+    monkeypatch.setattr(toxicity, "STEPS", 1)
+    toxicity.train(texts, [k % 2 for k in range(400)])
+    got = []
+    for at_once in (1 << 14, 1 << 30):
+        monkeypatch.setattr(toxicity, "AT_ONCE", at_once)
+        tracemalloc.start()
+        got.append(real(*steps[0]))
+        peak.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    (loss, grads), (want, wanted) = got
+    assert loss == pytest.approx(want) and all(np.allclose(x, y, rtol=1e-9, atol=1e-12) for x, y in zip(grads, wanted))
+    assert peak[0] < 0.8 * peak[1], peak
+
+
+def test_memories_are_released():
+    """A worker that turns to another operator gives up the tokenizer's words."""
+    packing.encoder(open(P.path("word_bpe_49k.json"), encoding="utf-8").read()).encode(["some words"])
+    assert packing._tokenizers
+    common.release()
+    assert not packing._tokenizers
+
+
 def test_toxicity(spark, odd):
     rng = random.Random(2)
     stems = ["grub", "snarf", "blort"]
