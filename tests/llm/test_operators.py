@@ -715,6 +715,44 @@ def test_byte_bpe_words_of_any_length(spark):
         assert c.words[w] == (",".join(map(str, ids)), len(ids), b)
 
 
+def test_byte_bpe_of_many_long_words():
+    """As many words of just under LONG bytes as a query takes at once: they fit the database's memory."""
+    import tiktoken
+
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    ranks = byte_bpe.read_ranks(path)
+    t = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    made = [f"{i:06d}" + "_" * 86 for i in range(24_000)]
+    c = byte_bpe.Codec(ranks, "(?s:.+)")
+    c.learn(made)
+    for w in made[::997]:
+        assert c.words[w][0] == ",".join(map(str, t._core_bpe.encode_single_piece(w.encode())))
+
+
+def test_byte_bpe_remembers_words_that_came_again(monkeypatch):
+    """Beyond CACHE words those of one call are forgotten, the others are not learned anew."""
+    monkeypatch.setattr(byte_bpe, "CACHE", 3)
+    c = byte_bpe.Codec({bytes([i]): i for i in range(256)}, "[a-z]+")
+    learned, real = [], c.learn
+    monkeypatch.setattr(c, "learn", lambda ws: learned.append(set(ws)) or real(ws))
+    calls = [["ab cd ef"], ["ab cd gh"], ["ab ef cd"], ["ab cd ef"]]
+    assert [[[w[2] for w in ws] for ws in c.encode(x)] for x in calls] == [[x.encode().split() for x in call] for call in calls]
+    assert learned == [{"ab", "cd", "ef"}, {"gh"}, {"ef"}, set()]
+
+
+def test_byte_bpe_quick_pattern():
+    """The quick form of the pattern finds the same for every character it is used for, beside each kind of others."""
+    import regex
+
+    assert byte_bpe._KNOWN == P.PATTERN
+    slow = regex.compile(P.PATTERN).findall
+    same = [chr(i) for i in range(0x110000) if byte_bpe._SAME(chr(i))]
+    assert len(same) > 500 and not set("²³¹¼½¾\xa0\x85\u2028\u0345") & set(same)
+    for x in same:
+        t = f"{x}{x}a{x}1{x} {x}.{x}  {x}_{x}\n{x} é{x}'s{x} 're {x}\t"
+        assert byte_bpe._QUICK(t) == slow(t)
+
+
 def test_codecs_are_told_apart_by_their_ranks():
     """Two rank tables of one size and pattern."""
     base = {bytes([i]): i for i in range(256)}
