@@ -508,6 +508,44 @@ def test_overlap_of_intervals(spark):
     assert [r[0] for r in w.selectExpr(sql).collect()] == [False, True, False, True]
 
 
+def test_pairs_of_two_blocks_hold_little():
+    """All pairs with COMMON tokens in common, by brute force, and of two full blocks with tokens of many texts no matrix of all tokens is held."""
+    import tracemalloc
+
+    import pandas as pd
+
+    def blocks(n, kinds, seed):
+        r = np.random.default_rng(seed)
+        base = r.integers(-32768, 32768, (kinds, 113))
+        around = []
+        for _ in range(2 * n):
+            b = base[r.integers(kinds)].copy()
+            k = r.integers(0, 80)
+            b[:k] = r.integers(-32768, 32768, k)
+            around.append(np.unique(b.astype(np.int16)))
+        i = np.arange(2 * n)
+        c = r.integers(60, 70, 2 * n)
+        return pd.DataFrame({"key": 0, "id": i % n + (i >= n) * (n // 2), "cls": i, "label": r.integers(0, 9, 2 * n), "c": c, "l": c - 56, "r": c + 56, "around": around, "less": [113 - len(x) for x in around], "outside": r.random(2 * n) < 0.5, "asks": i < n})
+
+    rows = blocks(60, 5, 1)
+    want = set()
+    for x in rows[rows.asks].itertuples():
+        for y in rows[~rows.asks].itertuples():
+            common = len(set(x.around.tolist()) & set(y.around.tolist()))
+            if common + min(x.less, y.less) >= passages_module.COMMON and x.label != y.label and (not y.outside or x.id < y.id):
+                want.add((x.cls, y.cls, common))
+    got = passages_module._pairs_of(rows)
+    assert len(got) == len(want) > 100 and set(zip(got["a"], got["b"], got["common"])) == want
+    assert not len(passages_module._pairs_of(rows[rows.asks])) and not len(passages_module._pairs_of(blocks(60, 120, 2).assign(around=[np.zeros(0, np.int16)] * 120)))
+
+    rows = blocks(passages_module.BLOCK, 2000, 3)
+    tracemalloc.start()
+    passages_module._pairs_of(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6  # a matrix of all tokens is over 500 MB
+
+
 @pytest.mark.parametrize("n", [12, 60])
 def test_passages_of_large_groups(spark, n):
     """Copies of an original, each with another word edited: 51 of 61 shingles with the original, fewer with one another. All have a row, as do two texts that hold what the least text of their group doesn't."""
