@@ -26,8 +26,8 @@ from .common import KEPT, drop_table, trim, write_table
 
 PART = 2048
 GAIN = 0.001
-CACHE = 400_000
-WORDS = 400_000
+CACHE = 330_000  # with their tables these and WORDS, and what tells which came again, take no more than 400000 each without it
+WORDS = 330_000
 #: Characters for which lower-casing, NFC and the split into words work character by character, the same here and in the tokenizer.
 _PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7e\\xa1-\\xac\\xae-\\u012f\\u0131-\\u0148\\u014a-\\u017f\\u2010-\\u2027\\u2030-\\u205e]*")
 _ASCII = bytes([9, 10, 13, *range(32, 127)])
@@ -53,11 +53,15 @@ class WordEncoder:
 
     def __init__(self, tokenizer):
         self.tokenizer, self.words, self.runs = tokenizer, {}, {}
+        self.again, self.words_again = set(), set()  # runs and words that came again; most others are of one text
 
     def learn(self, runs: list[str]) -> None:
         """Runs of characters without blanks: their words' ids, joined."""
         split = list(map(_words, runs))
-        new = list(set().union(*split).difference(self.words))
+        words = set().union(*split)
+        new = words.difference(self.words)
+        self.words_again |= words.difference(new)
+        new = list(new)
         for at in range(0, len(new), 1000):  # words parted by spaces are split as they were
             part = new[at : at + 1000]
             e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
@@ -70,11 +74,14 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.runs) > CACHE:
-            self.runs.clear()
+            self.runs, self.again = {r: self.runs[r] for r in self.again}, set()
         if len(self.words) > WORDS:
-            self.words.clear()
+            self.words, self.words_again = {w: self.words[w] for w in self.words_again}, set()
         split = [t.lower().split() if "<|" not in t and _plain(t) else None for t in texts]
-        self.learn(list(set().union(*(s for s in split if s)).difference(self.runs)))
+        runs = set().union(*(s for s in split if s))
+        new = runs.difference(self.runs)
+        self.again |= runs.difference(new)
+        self.learn(list(new))
         get = self.runs.__getitem__
         return [b"".join(map(get, s)) if s is not None else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for s, t in zip(split, texts)]
 

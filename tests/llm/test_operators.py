@@ -753,6 +753,21 @@ def test_byte_bpe_words_of_any_length(spark):
         assert c.words[w] == (",".join(map(str, ids)), len(ids), b)
 
 
+def test_packing_remembers_runs_that_came_again(monkeypatch):
+    """Beyond the limits those of one call are forgotten, the others are not learned anew; ids are the tokenizer's."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "CACHE", 3)
+    monkeypatch.setattr(packing, "WORDS", 3)
+    t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    e = packing.WordEncoder(t)
+    learned, real = [], e.learn
+    monkeypatch.setattr(e, "learn", lambda runs: learned.append(set(runs)) or real(runs))
+    for text in ("ab, cd ef.", "ab, cd gh", "ab, ef. cd", "Ab, cd ef. gh"):
+        assert e.encode([text]) == [np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+    assert learned == [{"ab,", "cd", "ef."}, {"gh"}, {"ef."}, {"gh"}]
+
+
 def test_byte_bpe_of_many_long_words():
     """As many words of just under LONG bytes as a query takes at once: they fit the database's memory."""
     import tiktoken
