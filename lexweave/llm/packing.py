@@ -26,7 +26,7 @@ from .common import KEPT, drop_table, trim, write_table
 
 PART = 2048
 GAIN = 0.001
-CACHE = 330_000  # with their tables these and WORDS, and what tells which came again, take no more than 400000 each without it
+CACHE = 330_000
 WORDS = 330_000
 #: Characters for which lower-casing, NFC and the split into words work character by character, the same here and in the tokenizer.
 _PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7e\\xa1-\\xac\\xae-\\u012f\\u0131-\\u0148\\u014a-\\u017f\\u2010-\\u2027\\u2030-\\u205e]*")
