@@ -5,9 +5,11 @@ import math
 import random
 import zlib
 from fractions import Fraction
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -423,6 +425,42 @@ def test_passages_test_few_pairs(spark, monkeypatch):
     assert len(set().union(*tested)) == 1
 
 
+def test_passages_in_rounds_leave_no_shuffle_files(spark, monkeypatch, tmp_path):
+    """Verified in several rounds, with the result of one, and what the steps shuffled is removed."""
+    import gc
+
+    folders = [Path(x) for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    held = lambda: {f for x in folders for f in x.rglob("shuffle_*")}
+    rng, rounds = random.Random(32), []
+    real = passages_module._rounds
+    monkeypatch.setattr(passages_module, "_rounds", lambda *x: rounds.append(real(*x)) or rounds[-1])
+    texts = [(10 * k + i, f"{words(rng, 30)} {p} {words(rng, 30)}") for k, p in enumerate(words(rng, 60) for _ in range(2)) for i in range(3)]
+    docs = documents(spark, texts)
+    gc.disable()
+    try:
+        before = held()
+        one = shared_passages(docs)
+        assert set(rounds) == {1} and len(held() - before) < 20
+    finally:
+        gc.enable()
+    want = {tuple(r) for r in one.collect()}
+    assert {r[0] for r in want} == {t[0] for t in texts}
+    monkeypatch.setattr(passages_module, "SHIPPED", 0.3)
+    monkeypatch.setattr(passages_module, "SHIPPED_LEAST", 1)
+    assert {tuple(r) for r in shared_passages(docs).collect()} == want and max(rounds) > 1
+
+
+def test_verify_parts_of_one_text():
+    """Two pairs take parts of a long text that begin with its first word and end at different places."""
+    rng = random.Random(33)
+    text, passage = words(rng, 300), words(rng, 60)
+    met = lambda i: [{"ca": i, "cb": 10, "x": i, "y": 1}]
+    first = {"a": 1, "b": 2, "met": met(10), "ta": text, "tb": text, "oa": 0, "ob": 0}
+    second = {"a": 1, "b": 3, "met": met(310), "ta": f"{text} {passage}", "tb": passage, "oa": 0, "ob": 0}
+    spans = [r for b in passages_module._verify([pa.RecordBatch.from_pylist([first, second])]) for r in b.to_pylist()]
+    assert [(r["b"], r["start_a"], r["words_a"]) for r in spans] == [(2, 0, 300), (3, 300, 60)]
+
+
 def test_tokens_of(monkeypatch):
     """Equal words have equal tokens wherever they stand and in whatever piece; case of A-Z and kind of white space don't count."""
     text = "  Ab\tba \x0b ab\nÄb äb \x1c ba ab " + "x" * 90 + " ab ba ab Äb ba"
